@@ -84,7 +84,7 @@ def parse_date(col: str | Column) -> Column:
     """'YYYY-M-D' text (month and day may be unpadded) -> DATE, else null;
     impossible dates such as 2024-13-45 give null."""
     c = _c(col)
-    return F.when(c.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}$"), F.try_to_date(c, F.lit("yyyy-M-d")))
+    return F.when(c.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}$"), F.try_to_date(c, "yyyy-M-d"))
 
 
 def is_valid_date(col: str | Column) -> Column:

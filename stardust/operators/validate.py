@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions import jsonpath as J
 from ..functions import text as X
+from .fence import fence
 
 ERROR_TYPE = "array<struct<field:string,rule:string,message:string>>"
 
@@ -173,7 +174,8 @@ def annotate(df: DataFrame, v: str | None = "v", null_is_missing: bool = False,
         acc: _Access = VariantAccess(v, bool_is_int, text_cols)
     else:
         acc = TypedAccess(df.schema)
-    return df.withColumn(out, errors_column(review_rules(acc, null_is_missing)))
+    # Fenced: later filters on the errors must not re-evaluate the rules below.
+    return fence(df.withColumn(out, errors_column(review_rules(acc, null_is_missing))), "validation")
 
 
 def split(annotated: DataFrame, errors: str = "errors") -> tuple[DataFrame, DataFrame]:

@@ -94,6 +94,6 @@ def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def arrival_order(desc: bool = False) -> list[Column]:
-    cols = [F.col(c) for c in ARRIVAL_ORDER]
-    return [c.desc() for c in cols] if desc else [c.asc() for c in cols]
+def arrival_order() -> list[Column]:
+    """Arrival order as plain (ascending) columns; operators flip them for "last"."""
+    return [F.col(c) for c in ARRIVAL_ORDER]
