@@ -19,13 +19,16 @@ from . import keys as K
 
 def upsert(target: DataFrame, source: DataFrame, on: list[str], update: list[str],
            on_update: dict[str, Column] | None = None, on_insert: dict[str, Column] | None = None,
-           surrogate: str | None = None, surrogate_order: list[str] | None = None) -> DataFrame:
+           surrogate: str | None = None, surrogate_order: list[str] | None = None,
+           key_floor: int | None = None) -> DataFrame:
     """M1: ``MERGE INTO target USING source ON keys WHEN MATCHED UPDATE SET
     update[, on_update] WHEN NOT MATCHED INSERT (source columns + on_insert)``.
 
     ``source`` must hold one row per key (reduce it first: ``dedup.latest``).
     The result has the target's columns; a ``surrogate`` key column is filled for
-    inserted rows from ``max(existing) + 1`` in ``surrogate_order``."""
+    inserted rows from ``max(existing) + 1`` in ``surrogate_order``; pass
+    ``key_floor`` (the table's high-water mark) when ``target`` is only a part
+    of the table."""
     on_update, on_insert = on_update or {}, on_insert or {}
     cols = target.columns
     src_cols = [c for c in source.columns if c not in on]
@@ -60,7 +63,7 @@ def upsert(target: DataFrame, source: DataFrame, on: list[str], update: list[str
         return merged.drop("__in_t")
     existing = merged.where("__in_t").drop("__in_t")
     new = merged.where(~F.col("__in_t")).drop("__in_t", surrogate)
-    top = K.max_key(target, surrogate)
+    top = key_floor if key_floor is not None else K.max_key(target, surrogate)
     keyed = K.assign_keys(new, [F.col(c) for c in (surrogate_order or on)], surrogate, top)
     return existing.unionByName(keyed.select(*cols))
 

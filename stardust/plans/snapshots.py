@@ -1,0 +1,133 @@
+"""Versioned tables on plain Parquet, rewritten per key bucket.
+
+Parquet tables take no MERGE, so an upsert writes new files. To keep the cost
+of a batch proportional to the keys it touches (not to the table), rows live
+in ``bucket = pmod(xxhash64(key), n)`` partitions, and each write of a bucket
+gets a fresh ``token`` partition: ``<root>/<table>/bucket=B/token=T/``.
+
+A small append-only commit table ``<root>/_commits`` maps (table, bucket) to
+its current token, plus the batch id that produced it and the table's key
+high-water mark. Data is written first and committed second, so a crash
+leaves at most an orphan token that nothing reads; a replayed batch id whose
+commit exists is skipped (idempotent ``foreachBatch``). Reads prune to the
+committed (bucket, token) partitions; the commit set is bounded by tables x
+buckets.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+COMMITS = T.StructType([
+    T.StructField("table_name", T.StringType()), T.StructField("bucket", T.IntegerType()),
+    T.StructField("token", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("max_key", T.LongType()), T.StructField("committed_at", T.TimestampNTZType())])
+
+
+def bucket_of(key: str, n: int):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
+
+
+class SnapshotStore:
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
+                 keys: dict[str, str], buckets: int = 64):
+        self.spark, self.root, self.schemas, self.keys, self.n = spark, root.rstrip("/"), schemas, keys, buckets
+        self._ready = False
+
+    def _ensure_log(self) -> None:
+        """Create the (empty) commit table once, so reads never hit a missing path."""
+        if self._ready:
+            return
+        try:
+            self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits").limit(0).collect()
+        except Exception:  # noqa: BLE001 - first use of this root
+            self.spark.createDataFrame([], COMMITS).write.mode("append").parquet(f"{self.root}/_commits")
+        self._ready = True
+
+    # -- commit log ---------------------------------------------------------
+    def _commits(self) -> DataFrame:
+        self._ensure_log()
+        return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")
+
+    def state(self, table: str) -> list[tuple[int, str, int, int]]:
+        """Current (bucket, token, batch_id, max_key) per bucket: bounded by the bucket count."""
+        c = self._commits().where(F.col("table_name") == table)
+        latest = c.groupBy("bucket").agg(F.max_by(F.struct("token", "batch_id", "max_key"),
+                                                  F.struct("committed_at", "batch_id")).alias("s"))
+        return [(r["bucket"], r["s"]["token"], r["s"]["batch_id"], r["s"]["max_key"]) for r in latest.collect()]
+
+    def applied(self, table: str, batch_id: int) -> bool:
+        c = self._commits().where((F.col("table_name") == table) & (F.col("batch_id") == batch_id))
+        return not c.isEmpty()
+
+    def max_key(self, table: str) -> int:
+        st = self.state(table)
+        return max((m or 0 for _, _, _, m in st), default=0)
+
+    # -- read ---------------------------------------------------------------
+    def read(self, table: str, buckets: list[int] | None = None) -> DataFrame:
+        """Current rows of a table (optionally only some buckets)."""
+        st = self.state(table)
+        if buckets is not None:
+            want = set(buckets)
+            st = [s for s in st if s[0] in want]
+        if not st:
+            return self.spark.createDataFrame([], self.schemas[table])
+        pairs = [F.struct(F.lit(b).cast("int"), F.lit(t)) for b, t, _, _ in st]
+        df = self.spark.read.schema(self._stored_schema(table)).parquet(f"{self.root}/{table}")
+        # Literal (bucket, token) set: static partition pruning, bounded size.
+        df = df.where(F.col("bucket").isin([b for b, _, _, _ in st]) & F.struct("bucket", "token").isin(pairs))
+        return df.select(*self.schemas[table].fieldNames())
+
+    def _stored_schema(self, table: str) -> T.StructType:
+        return T.StructType(self.schemas[table].fields + [T.StructField("bucket", T.IntegerType()),
+                                                           T.StructField("token", T.StringType())])
+
+    # -- write --------------------------------------------------------------
+    def touched(self, table: str, source: DataFrame, key: str) -> list[int]:
+        """Buckets holding the source's keys (at most ``n`` values)."""
+        return [r[0] for r in source.select(bucket_of(key, self.n)).distinct().collect()]
+
+    def commit_buckets(self, table: str, rows: DataFrame, buckets: list[int], batch_id: int,
+                       max_key: int | None = None) -> None:
+        """Write the full new content of ``buckets`` and commit them."""
+        key = self.keys[table]
+        token = f"b{batch_id}-{uuid.uuid4().hex[:10]}"
+        (rows.select(*self.schemas[table].fieldNames())
+             .withColumn("bucket", bucket_of(key, self.n)).withColumn("token", F.lit(token))
+             .write.mode("append").partitionBy("bucket", "token").parquet(f"{self.root}/{table}"))
+        now = dt.datetime.now()
+        commits = [(table, b, token, batch_id, max_key, now) for b in buckets]
+        self.spark.createDataFrame(commits, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+
+    def upsert(self, table: str, source: DataFrame, merge: Callable[[DataFrame, int], DataFrame],
+               batch_id: int, key_col: str | None = None) -> bool:
+        """Rewrite only the buckets the source touches: ``merge(current rows of
+        those buckets, key high-water mark) -> new rows of those buckets``.
+        Returns False when this batch id was already applied."""
+        if self.applied(table, batch_id):
+            return False
+        key = self.keys[table]
+        src = source.persist()
+        try:
+            buckets = self.touched(table, src, key)
+            if not buckets:
+                return False
+            current = self.read(table, buckets)
+            top = self.max_key(table)
+            merged = merge(current, top).persist()
+            new_top = top
+            if key_col:
+                m = merged.agg(F.max(key_col)).first()[0]
+                new_top = max(top, int(m) if m is not None else 0)
+            self.commit_buckets(table, merged, buckets, batch_id, new_top)
+            merged.unpersist()
+            return True
+        finally:
+            src.unpersist()

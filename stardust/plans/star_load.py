@@ -81,23 +81,38 @@ def _latest(st: DataFrame, key: str, order: list[str]) -> DataFrame:
                     [F.col(c) for c in order] + [F.col("f0_pos")])
 
 
-def load_customers(customers: DataFrame, st: DataFrame, order: list[str], now: Column) -> DataFrame:
-    """M2: latest per customer_id; update email, name, address, updated_at."""
-    src = _latest(st, "customer_id", order).select("customer_id", "email", "name", "address")
+def customers_source(st: DataFrame, order: list[str]) -> DataFrame:
+    return _latest(st, "customer_id", order).select("customer_id", "email", "name", "address")
+
+
+def merge_customers(customers: DataFrame, src: DataFrame, now: Column, key_floor: int | None = None) -> DataFrame:
+    """M2: update email, name, address, updated_at; insert with new keys (K1, M7)."""
     return U.upsert(customers, src, ["customer_id"], ["email", "name", "address"],
                     on_update={"updated_at": now},
                     on_insert={"created_at": now, "updated_at": now, "is_active": F.lit(True)},
-                    surrogate="customer_key")
+                    surrogate="customer_key", key_floor=key_floor)
 
 
-def load_products(products: DataFrame, st: DataFrame, order: list[str], now: Column) -> DataFrame:
-    """M3: latest per product_id; update name, category, price, updated_at."""
-    src = _latest(st, "product_id", order).select(
+def load_customers(customers: DataFrame, st: DataFrame, order: list[str], now: Column) -> DataFrame:
+    """M2: latest per customer_id, merged."""
+    return merge_customers(customers, customers_source(st, order), now)
+
+
+def products_source(st: DataFrame, order: list[str]) -> DataFrame:
+    return _latest(st, "product_id", order).select(
         "product_id", F.col("product_title").alias("name"), F.col("product_category").alias("category"), "price")
+
+
+def merge_products(products: DataFrame, src: DataFrame, now: Column, key_floor: int | None = None) -> DataFrame:
+    """M3: update name, category, price, updated_at."""
     return U.upsert(products, src, ["product_id"], ["name", "category", "price"],
                     on_update={"updated_at": now},
                     on_insert={"created_at": now, "updated_at": now, "is_active": F.lit(True)},
-                    surrogate="product_key")
+                    surrogate="product_key", key_floor=key_floor)
+
+
+def load_products(products: DataFrame, st: DataFrame, order: list[str], now: Column) -> DataFrame:
+    return merge_products(products, products_source(st, order), now)
 
 
 def _keys(st: DataFrame, customers: DataFrame, products: DataFrame, how: str) -> DataFrame:
@@ -108,26 +123,40 @@ def _keys(st: DataFrame, customers: DataFrame, products: DataFrame, how: str) ->
     return st.join(c, "customer_id", how).join(p, "product_id", how)
 
 
-def load_reviews(reviews: DataFrame, st: DataFrame, customers: DataFrame, products: DataFrame,
-                 order: list[str], now: Column) -> DataFrame:
-    """M4: left lookups (unmatched keys stay null: see ``unmatched_reviews``),
-    latest per review_id (T19), update only star_rating and helpful_votes."""
-    src = _latest(_keys(st, customers, products, "left"), "review_id", order).select(
+def reviews_source(st: DataFrame, customers: DataFrame, products: DataFrame, order: list[str]) -> DataFrame:
+    """Left lookups (unmatched keys stay null: see ``unmatched_reviews``), latest per review_id."""
+    return _latest(_keys(st, customers, products, "left"), "review_id", order).select(
         "review_id", "order_id", "customer_key", "product_key", "review_date", "star_rating",
         "review_body", "helpful_votes", "verified_purchase")
+
+
+def merge_reviews(reviews: DataFrame, src: DataFrame, now: Column) -> DataFrame:
+    """M4: update only star_rating and helpful_votes."""
     return U.upsert(reviews, src, ["review_id"], ["star_rating", "helpful_votes"], on_insert={"created_at": now})
 
 
-def load_orders(orders: DataFrame, st: DataFrame, customers: DataFrame, products: DataFrame,
-                order: list[str], now: Column) -> DataFrame:
-    """M5: inner lookups, quantity defaults to 1 (E5), latest per order_id,
-    update only quantity."""
-    src = _latest(_keys(st, customers, products, "inner"), "order_id", order).select(
+def load_reviews(reviews: DataFrame, st: DataFrame, customers: DataFrame, products: DataFrame,
+                 order: list[str], now: Column) -> DataFrame:
+    return merge_reviews(reviews, reviews_source(st, customers, products, order), now)
+
+
+def orders_source(st: DataFrame, customers: DataFrame, products: DataFrame, order: list[str]) -> DataFrame:
+    """Inner lookups, quantity defaults to 1 (E5), latest per order_id."""
+    return _latest(_keys(st, customers, products, "inner"), "order_id", order).select(
         "order_id", F.col("review_date").alias("order_date"), "customer_key", "product_key",
         F.coalesce("quantity", F.lit(1)).alias("quantity"))
+
+
+def merge_orders(orders: DataFrame, src: DataFrame, now: Column) -> DataFrame:
+    """M5: update only quantity."""
     return U.upsert(orders, src, ["order_id"], ["quantity"], on_insert={"created_at": now})
 
 
+def load_orders(orders: DataFrame, st: DataFrame, customers: DataFrame, products: DataFrame,
+                order: list[str], now: Column) -> DataFrame:
+    return merge_orders(orders, orders_source(st, customers, products, order), now)
+
+
 def unmatched_reviews(st: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Staged reviews whose customer or product has no dimension row
     (the quarantine side of the left lookups)."""
