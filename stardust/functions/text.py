@@ -1,14 +1,15 @@
 """Scalar column transforms (F1-F16). Every builder takes and returns a Column
 and stays JVM-side, except NFC normalisation, which Spark lacks: that one is an
-Arrow-batched pandas UDF that only receives values containing non-ASCII text
-(ASCII text is already NFC), so ASCII rows cross to Python as nulls."""
+Arrow-native UDF (Arrow's Unicode kernel, no per-row Python) that only receives
+values containing non-ASCII text (ASCII text is already NFC); ASCII rows cross
+as nulls."""
 
 from __future__ import annotations
 
 import re
-import unicodedata
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +21,10 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-@F.pandas_udf(T.StringType())
-def _nfc_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x) if isinstance(x, str) else x)
+@F.arrow_udf(T.StringType())
+def _nfc_udf(a: pa.Array) -> pa.Array:
+    # Vectorised in Arrow's C++ kernels; null slots (ASCII rows) cost nothing.
+    return pc.utf8_normalize(a, "NFC")
 
 
 def nfc(col: str | Column) -> Column:
@@ -38,11 +40,18 @@ WS = "(?U)\\s+"
 def clean_text(col: str | Column, normalise: bool = True) -> Column:
     """NFC, then delete control characters, then collapse any Unicode
     whitespace run to one space, then strip. The order matters: a vertical tab
-    is deleted (joining words) before whitespace is collapsed."""
-    c = nfc(col) if normalise else _c(col)
+    is deleted (joining words) before whitespace is collapsed.
+
+    ASCII text takes a cheaper, equivalent branch: once control characters are
+    gone, its only whitespace is tab, newline, carriage return and space, and
+    after collapsing, ``trim`` (spaces) is a full strip."""
+    raw = _c(col)
+    non_ascii = raw.rlike("[^\\x00-\\x7F]")
+    c = nfc(raw) if normalise else raw
     c = F.regexp_replace(c, S.CONTROL_CHARS_CLASS, "")
-    c = F.regexp_replace(c, WS, " ")
-    return F.regexp_replace(c, "(?U)^\\s+|\\s+$", "")
+    uni = F.regexp_replace(F.regexp_replace(c, WS, " "), "(?U)^\\s+|\\s+$", "")
+    ascii_ = F.trim(F.regexp_replace(F.regexp_replace(raw, S.CONTROL_CHARS_CLASS, ""), "[\\t\\n\\r ]+", " "))
+    return F.when(non_ascii, uni).otherwise(ascii_)
 
 
 def clean_review(df: DataFrame, fields: tuple[str, ...] = S.TEXT_FIELDS, normalise: bool = True) -> DataFrame:

@@ -48,29 +48,51 @@ class _Access:
 
 class VariantAccess(_Access):
     """Kinds come from the raw VARIANT; text may come from already-cleaned
-    columns (``text_cols``), since cleaning never changes a value's kind."""
+    columns (``text_cols``), since cleaning never changes a value's kind.
+
+    ``prepare`` computes each field's kind (and raw text / integer value) once
+    per row into helper columns behind a fence, so the rules read columns
+    instead of re-walking the variant for every reference."""
 
     def __init__(self, v: str = "v", bool_is_int: bool = False, text_cols: tuple[str, ...] = ()):
         self.v, self.bool_is_int, self.text_cols = v, bool_is_int, set(text_cols)
 
+    @staticmethod
+    def _k(f):
+        return F.col(f"__k_{f}")
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        cols = {f"__k_{f}": J.kind(self.v, f) for f in S.REQUIRED_FIELDS}
+        cols.update({f"__t_{f}": J.get(self.v, f, "string") for f in S.REQUIRED_FIELDS if f not in self.text_cols})
+        cols["__i_star_rating"] = J.get(self.v, "star_rating", "bigint")
+        return fence(df.withColumns(cols), "kinds")
+
+    def cleanup(self, df: DataFrame) -> DataFrame:
+        return df.drop(*[c for c in df.columns if c.startswith(("__k_", "__t_", "__i_"))])
+
     def present(self, f):
-        return J.node(self.v, f).isNotNull()
+        return self._k(f).isNotNull()
 
     def is_string(self, f):
-        return J.is_string(self.v, f)
+        return F.coalesce(self._k(f) == F.lit("STRING"), F.lit(False))
 
     def is_int(self, f):
-        return J.is_integer(self.v, f, self.bool_is_int)
+        k = self._k(f)
+        ok = k.isin("TINYINT", "SMALLINT", "INT", "BIGINT")
+        if self.bool_is_int:
+            ok = ok | (k == F.lit("BOOLEAN"))
+        return F.coalesce(ok, F.lit(False))
 
     def text(self, f):
-        src = F.col(f) if f in self.text_cols else J.get(self.v, f, "string")
+        src = F.col(f) if f in self.text_cols else F.col(f"__t_{f}")
         return F.when(self.is_string(f), src)
 
     def int_value(self, f):
-        return F.when(self.is_int(f), J.get(self.v, f, "bigint"))
+        src = F.col("__i_star_rating") if f == "star_rating" else J.get(self.v, f, "bigint")
+        return F.when(self.is_int(f), src)
 
     def repr(self, f):
-        k = J.kind(self.v, f)
+        k = self._k(f)
         return (F.when(k == "VOID", F.lit("None"))
                  .when(k == "STRING", py_repr_text(self.text(f)))
                  .when(k == "BOOLEAN", F.when(J.get(self.v, f, "boolean"), "True").otherwise("False"))
@@ -171,11 +193,12 @@ def annotate(df: DataFrame, v: str | None = "v", null_is_missing: bool = False,
     of ``df`` (``text_cols`` name cleaned text columns to check instead of the
     raw text), typed columns otherwise."""
     if v is not None and v in df.columns:
-        acc: _Access = VariantAccess(v, bool_is_int, text_cols)
+        acc = VariantAccess(v, bool_is_int, text_cols)
+        checked = acc.cleanup(acc.prepare(df).withColumn(out, errors_column(review_rules(acc, null_is_missing))))
     else:
-        acc = TypedAccess(df.schema)
+        checked = df.withColumn(out, errors_column(review_rules(TypedAccess(df.schema), null_is_missing)))
     # Fenced: later filters on the errors must not re-evaluate the rules below.
-    return fence(df.withColumn(out, errors_column(review_rules(acc, null_is_missing))), "validation")
+    return fence(checked, "validation")
 
 
 def split(annotated: DataFrame, errors: str = "errors") -> tuple[DataFrame, DataFrame]:

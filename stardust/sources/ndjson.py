@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonpath as J
+from ..operators.fence import fence
 
 STRICT = "strict"
 PERMISSIVE = "permissive"
@@ -39,8 +40,12 @@ def parse_lines(lines: DataFrame, mode: str = STRICT, value: str = "value",
     if mode == STRICT:
         err = F.raise_error(F.concat(F.lit("JSON parse error at "), F.coalesce(F.col("source_file"), F.lit("<input>")),
                                      F.lit(": "), F.col(value)))
-        return out.withColumn("v", F.when(F.col("v").isNull(), err.cast("variant")).otherwise(F.col("v")))
-    return out.withColumn("is_corrupt", F.col("v").isNull())
+        out = out.withColumn("v", F.when(F.col("v").isNull(), err.cast("variant")).otherwise(F.col("v")))
+    else:
+        out = out.withColumn("is_corrupt", F.col("v").isNull())
+    # Fenced: every later path lookup reads the parsed value instead of
+    # re-serialising and re-parsing the line once per field.
+    return fence(out, "parse")
 
 
 def read_ndjson(spark: SparkSession, path: str | list[str], mode: str = STRICT) -> DataFrame:

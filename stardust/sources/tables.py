@@ -20,6 +20,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Parallelism floor: a scan of one unsplittable file (one row group) is one
+    task, and every narrow step after it would run on one core. Below the
+    floor, round-robin the rows over ``defaultParallelism`` partitions; a real
+    input (thousands of splits) passes through untouched, with no shuffle."""
+    spark = df.sparkSession
+    floor = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= floor:
+        return df
+    return df.repartition(floor)
+
+
 # Review view: one review per lineitem row. Text runs unchanged on Spark SQL and
 # DuckDB; the oracle SQL of every query starts from it.
 REVIEW_VIEW_SQL = """
@@ -60,9 +72,9 @@ def review_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer are dimensions whose size Spark checks at runtime (AQE turns the
     join into a broadcast only under ``autoBroadcastJoinThreshold``).
     """
-    l = read_table(spark, sf_dir, "lineitem").select(
+    l = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"))
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
