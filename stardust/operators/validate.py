@@ -246,7 +246,8 @@ def assert_valid(annotated: DataFrame, errors: str = "errors", key: str = "revie
     """V9: the first invalid record fails the job (raised inside the task)."""
     msg = F.concat(F.lit("Validation failed for "), F.coalesce(F.col(key).cast("string"), F.lit("?")),
                    F.lit(": "), error_text(errors))
-    return annotated.withColumn("__ok", F.when(F.size(errors) > 0, F.raise_error(msg))).drop("__ok")
+    # A filter (not a dropped column, which the optimiser would prune) keeps the check.
+    return annotated.where(F.when(F.size(errors) > 0, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
 
 
 def length_check(col: str, max_len: int) -> Rule:

@@ -66,7 +66,7 @@ def line_status(lines: DataFrame, value: str = "value") -> DataFrame:
 def read_json_document(spark: SparkSession, path: str) -> DataFrame:
     """S3: whole-file JSON (object or array); one row per file, then E1 gives
     one row per record. Use for bounded files only (a file is one task)."""
-    docs = spark.read.option("wholetext", True).text(path).select(
+    docs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("source_file"), F.try_parse_json("value").alias("v"))
     bad = F.raise_error(F.concat(F.lit("Cannot read JSON from "), F.col("source_file")))
     docs = docs.withColumn("v", F.when(F.col("v").isNull(), bad.cast("variant")).otherwise(F.col("v")))
