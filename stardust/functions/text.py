@@ -34,10 +34,15 @@ def _nfc_udf(a: pa.Array) -> pa.Array:
     return pc.replace_with_mask(a, mask, normed)
 
 
+def has_non_ascii(c: Column) -> Column:
+    """More UTF-8 bytes than characters: cheaper than a regex scan."""
+    return F.octet_length(c) > F.length(c)
+
+
 def nfc(col: str | Column) -> Column:
     """Unicode NFC form; ASCII values skip the Python round trip."""
     c = _c(col)
-    non_ascii = c.rlike("[^\\x00-\\x7F]")
+    non_ascii = has_non_ascii(c)
     return F.when(non_ascii, _nfc_udf(F.when(non_ascii, c))).otherwise(c)
 
 
@@ -53,12 +58,15 @@ def clean_text(col: str | Column, normalise: bool = True) -> Column:
     gone, its only whitespace is tab, newline, carriage return and space, and
     after collapsing, ``trim`` (spaces) is a full strip."""
     raw = _c(col)
-    non_ascii = raw.rlike("[^\\x00-\\x7F]")
+    # Printable ASCII with single inner spaces and no edge spaces is already clean.
+    non_ascii = has_non_ascii(raw)
+    needs = (non_ascii | raw.rlike(S.CONTROL_CHARS_CLASS + "|\\t|\\n|\\r") | (F.instr(raw, "  ") > 0)
+             | raw.startswith(" ") | raw.endswith(" "))
     c = nfc(raw) if normalise else raw
     c = F.regexp_replace(c, S.CONTROL_CHARS_CLASS, "")
     uni = F.regexp_replace(F.regexp_replace(c, WS, " "), "(?U)^\\s+|\\s+$", "")
     ascii_ = F.trim(F.regexp_replace(F.regexp_replace(raw, S.CONTROL_CHARS_CLASS, ""), "[\\t\\n\\r ]+", " "))
-    return F.when(non_ascii, uni).otherwise(ascii_)
+    return F.when(~needs, raw).when(non_ascii, uni).otherwise(ascii_)
 
 
 def clean_review(df: DataFrame, fields: tuple[str, ...] = S.TEXT_FIELDS, normalise: bool = True) -> DataFrame:

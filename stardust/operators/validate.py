@@ -45,6 +45,9 @@ class _Access:
     def int_value(self, f: str) -> Column: ...
     def repr(self, f: str) -> Column: ...
 
+    def is_clean(self, f: str) -> bool:
+        return False
+
 
 class VariantAccess(_Access):
     """Kinds come from the raw VARIANT; text may come from already-cleaned
@@ -57,6 +60,9 @@ class VariantAccess(_Access):
     def __init__(self, v: str = "v", bool_is_int: bool = False, text_cols: tuple[str, ...] = ()):
         self.v, self.bool_is_int, self.text_cols = v, bool_is_int, set(text_cols)
 
+    def is_clean(self, f):
+        return f in self.text_cols
+
     @staticmethod
     def _k(f):
         return F.col(f"__k_{f}")
@@ -161,7 +167,10 @@ def review_rules(acc: _Access, null_is_missing: bool = False) -> list[Rule]:
         return p
 
     for f in S.STRING_FIELDS:
-        bad = ~(acc.is_string(f) & (F.length(F.regexp_replace(acc.text(f), "(?U)^\\s+|\\s+$", "")) > 0))
+        # Cleaned text is already stripped; raw text is stripped here.
+        t = acc.text(f)
+        stripped = t if acc.is_clean(f) else F.regexp_replace(t, "(?U)^\\s+|\\s+$", "")
+        bad = ~(acc.is_string(f) & (F.length(stripped) > 0))
         rules.append(Rule(f, "non_empty_string", checked(f) & F.coalesce(bad, F.lit(True)),
                           F.concat(F.lit(f"{f} must be a non-empty string, got "), acc.repr(f))))
     f = "review_date"
