@@ -50,11 +50,10 @@ def star_after_two_batches(spark, sf_dir) -> SL.Star:
 
 
 def _materialise(star: SL.Star) -> SL.Star:
-    """Cut lineage between batches (reliable checkpoint in the shared folder),
-    as a real run does by writing each table version."""
-    from ..session import shared_dir
-    shared_dir(star.customers.sparkSession)
-    return SL.Star(**{n: df.checkpoint(eager=True) for n, df in star.tables().items()})
+    """Cut lineage between batches (tables written to the shared folder), as
+    a real run does by writing each table version."""
+    from ..session import materialize
+    return SL.Star(**{n: materialize(df, f"star-{n}") for n, df in star.tables().items()})
 
 
 # ---------------------------------------------------------------- oracle SQL

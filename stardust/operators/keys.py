@@ -4,8 +4,9 @@ A ``row_number()`` over an unpartitioned window moves every row into one task.
 Instead: range-partition by the order (a distributed sort), count rows per
 partition (one small aggregate: one row per partition reaches the driver),
 prefix-sum those counts, and add each partition's offset to the row's index
-inside its partition. The sorted frame is checkpointed first, so both passes
-see the same rows in the same partitions even if an executor is lost.
+inside its partition. The sorted frame (with partition id and position stored
+as columns) is written to the shared folder first, so both passes see the
+same rows even if an executor is lost.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import materialize
 
 
 def dense_index(df: DataFrame, order: list[Column], out: str = "seq", start: int = 0,
@@ -21,13 +22,13 @@ def dense_index(df: DataFrame, order: list[Column], out: str = "seq", start: int
     """0-based (plus ``start``) position of every row in ``order``; equals
     ``row_number() over (order by ...) - 1 + start`` for a total order."""
     spark = df.sparkSession
-    shared_dir(spark)  # checkpoint folder (the cluster's shared one when set)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_df = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
                    .withColumn("__pid", F.spark_partition_id())
                    .withColumn("__mid", F.monotonically_increasing_id()))
-    # Cut lineage: both passes below read the same materialised partitions.
-    sorted_df = sorted_df.checkpoint(eager=True)
+    # Cut lineage: both passes below read the same materialised rows, with each
+    # row's partition id and position stored (so re-reads cannot reorder them).
+    sorted_df = materialize(sorted_df, "dense-index")
     counts = {r["__pid"]: r["n"] for r in
               sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, acc = {}, start

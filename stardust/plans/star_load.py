@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions import jsonpath as J
 from ..operators import dedup as D
 from ..operators import upsert as U
+from ..session import materialize
 
 TS = T.TimestampNTZType()
 
@@ -167,10 +168,14 @@ def unmatched_reviews(st: DataFrame, customers: DataFrame, products: DataFrame)
 
 
 def load_batch(star: Star, stg: DataFrame, now: Column, order: list[str] | None = None,
-               mydata: str = "mydata") -> Star:
-    """Q2 for one batch (C10 order: dimensions, then facts)."""
+               mydata: str = "mydata", cut: bool = True) -> Star:
+    """Q2 for one batch (C10 order: dimensions, then facts). The typed staging
+    is read by all four loads, so it is written once to the shared folder
+    (``cut``) instead of being parsed four times."""
     order = order or ["loaded_timestamp"]
     st = typed_staging(stg, order, mydata)
+    if cut:
+        st = materialize(st, "staging")
     customers = load_customers(star.customers, st, order, now)
     products = load_products(star.products, st, order, now)
     reviews = load_reviews(star.reviews, st, customers, products, order, now)

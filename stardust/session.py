@@ -74,3 +74,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused, never deleted here)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, label: str = "stage"):
+    """Cut lineage by writing ``df`` once as Parquet to the shared folder and
+    reading it back (one pass; a reliable RDD checkpoint of an uncached plan
+    would compute it twice). Survives executor loss: the files are shared."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
