@@ -39,6 +39,7 @@ class SnapshotStore:
                  keys: dict[str, str], buckets: int = 64):
         self.spark, self.root, self.schemas, self.keys, self.n = spark, root.rstrip("/"), schemas, keys, buckets
         self._ready = False
+        self._cache: list | None = None  # commit rows, read once per batch (bounded)
 
     def _ensure_log(self) -> None:
         """Create the (empty) commit table once, so reads never hit a missing path."""
@@ -55,16 +56,29 @@ class SnapshotStore:
         self._ensure_log()
         return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")
 
+    def refresh(self) -> None:
+        """Forget the cached commit state (call when another writer may have committed)."""
+        self._cache = None
+
+    def _current(self) -> list:
+        """Latest commit per (table, bucket), plus every (table, batch_id) applied.
+        Both are small: tables x buckets rows, and tables x batches ids."""
+        if self._cache is None:
+            c = self._commits()
+            latest = c.groupBy("table_name", "bucket").agg(
+                F.max_by(F.struct("token", "batch_id", "max_key"), F.struct("committed_at", "batch_id")).alias("s"))
+            rows = [(r["table_name"], r["bucket"], r["s"]["token"], r["s"]["batch_id"], r["s"]["max_key"])
+                    for r in latest.collect()]
+            applied = {(r[0], r[1]) for r in c.select("table_name", "batch_id").distinct().collect()}
+            self._cache = [rows, applied]
+        return self._cache
+
     def state(self, table: str) -> list[tuple[int, str, int, int]]:
         """Current (bucket, token, batch_id, max_key) per bucket: bounded by the bucket count."""
-        c = self._commits().where(F.col("table_name") == table)
-        latest = c.groupBy("bucket").agg(F.max_by(F.struct("token", "batch_id", "max_key"),
-                                                  F.struct("committed_at", "batch_id")).alias("s"))
-        return [(r["bucket"], r["s"]["token"], r["s"]["batch_id"], r["s"]["max_key"]) for r in latest.collect()]
+        return [(b, t, bid, mk) for tn, b, t, bid, mk in self._current()[0] if tn == table]
 
     def applied(self, table: str, batch_id: int) -> bool:
-        c = self._commits().where((F.col("table_name") == table) & (F.col("batch_id") == batch_id))
-        return not c.isEmpty()
+        return (table, batch_id) in self._current()[1]
 
     def max_key(self, table: str) -> int:
         st = self.state(table)
@@ -105,6 +119,12 @@ class SnapshotStore:
         now = dt.datetime.now()
         commits = [(table, b, token, batch_id, max_key, now) for b in buckets]
         self.spark.createDataFrame(commits, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        if self._cache is not None:  # keep the cached state in step with the commit
+            rows, applied = self._cache
+            rows = [r for r in rows if not (r[0] == table and r[1] in set(buckets))]
+            rows += [(table, b, token, batch_id, max_key) for b in buckets]
+            applied.add((table, batch_id))
+            self._cache = [rows, applied]
 
     def upsert(self, table: str, source: DataFrame, merge: Callable[[DataFrame, int], DataFrame],
                batch_id: int, key_col: str | None = None) -> bool:

@@ -89,3 +89,21 @@ def test_failed_batch_is_logged_and_raised(spark, tmpdir_fresh):
     ld.clock = lambda b: (_ for _ in ()).throw(RuntimeError("clock down"))
     with pytest.raises(Exception):
         ld.run_available()
+
+
+def test_retention_and_skip_existing(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    drop(f"{base}/in", "d0", [rec("R9", "C9", "P9", "2024-01-01T00:00:00")])
+    days = {1: dt.datetime(2026, 1, 1), 2: dt.datetime(2026, 1, 20)}  # batch 0 = skipped files
+    ld = StarStreamLoader(spark, f"{base}/in/*/*.json", root=f"{base}/star", buckets=4,
+                          clock=lambda b: days[b], retention_days=7)
+    ld.skip_existing()                                # C3: d0 is never loaded
+    drop(f"{base}/in", "d1", [rec("R1", "C1", "P1", "2024-01-01T00:00:00")])
+    ld.run_available()
+    assert [r["customer_id"] for r in ld.table("customers").collect()] == ["C1"]
+    drop(f"{base}/in", "d2", [rec("R2", "C2", "P1", "2024-01-02T00:00:00")])
+    ld.run_available()                                # 19 days later: batch of d1 is archived
+    assert ld.table("json_data_archive").count() == 1
+    assert ld.table("json_data").count() == 1         # only the newest batch remains readable
+    arch = ld.table("batch_log").where(F.col("data_source") == "ARCHIVAL").collect()
+    assert len(arch) == 1 and arch[0]["record_count"] == 1
