@@ -51,8 +51,10 @@ def batch_events(batches: DataFrame) -> DataFrame:
 
 
 def current_batches(events: DataFrame) -> DataFrame:
-    """The state of each batch = its latest event (W1 on the event log)."""
-    return D.latest(events, "batch_id", [F.col("batch_timestamp"), F.col("status") != IN_PROGRESS])
+    """The state of each batch = its latest event (W1 on the event log);
+    a batch is identified by (batch_id, data_source)."""
+    key = F.concat_ws("|", F.col("batch_id").cast("string"), F.col("data_source"))
+    return D.latest(events, key, [F.col("batch_timestamp"), F.col("status") != IN_PROGRESS])
 
 
 def archive_split(landing: DataFrame, now: Column, days: int = 7, ts: str = "loaded_timestamp"):

@@ -87,3 +87,22 @@ def test_bool_is_int_option(spark):
     parsed = N.parse_lines(lines_frame(spark, [valid_review(star_rating=True)]))
     ann = V.annotate(RV.extract(parsed), bool_is_int=True)
     assert ann.select(F.size("errors")).first()[0] == 0
+
+
+def test_review_run_metrics(spark, tmpdir_fresh):
+    import json as _json
+    import os as _os
+    from stardust.functions import predicates as P
+    from stardust.plans.review_job import run_reviews
+    src = f"{tmpdir_fresh}/in"
+    _os.makedirs(src)
+    recs = [valid_review(review_id=f"R{i}", star_rating=1 + i % 5) for i in range(10)]
+    recs += [{"review_id": "X"}, valid_review(review_id="Y", star_rating=9)]
+    with open(f"{src}/a.jsonl", "w") as fh:
+        fh.write("\n".join(_json.dumps(r) for r in recs) + "\n")
+    m = run_reviews(spark, src, f"{tmpdir_fresh}/out", filters=[P.star_between(4, 5)], batch_size=3)
+    assert (m.total_records, m.valid_records, m.invalid_records) == (12, 10, 2)
+    assert (m.processed_records, m.failed_records, m.batches_processed) == (4, 0, 1)
+    assert m.error_summary == {"Missing fields": 1, "star_rating": 1}
+    assert spark.read.json(f"{tmpdir_fresh}/out").count() == 4
+    assert set(m.stats()) >= {"run_id", "duration_s", "throughput_rps", "total_records"}
