@@ -13,6 +13,7 @@ from ..sources import ndjson as N
 from ..sources import files as FS
 from ..sources.tables import review_records
 from ..session import scratch_path
+from ._register_helpers import nested_order_documents
 from ._registry import register
 from ._sql import ARRIVAL, C, R, REVIEW_COLS, V, with_
 
@@ -128,16 +129,7 @@ SELECT DISTINCT order_id, min(review_date) OVER (PARTITION BY order_id) AS order
 def e2_nested(spark, sf_dir):
     """E2 (nested draft shape): a document is an array of orders, each with a
     customer object and a products array; unnest orders, then products."""
-    r = review_records(spark, sf_dir)
-    prod = F.struct(F.col("product_id"), F.col("product_title").alias("name"),
-                    F.col("product_category").alias("category"), F.col("price"), F.col("quantity"))
-    orders = r.groupBy("order_id").agg(
-        F.min("review_date").alias("order_date"),
-        F.first(F.struct("customer_id", "email", "name", "address"), ignorenulls=True).alias("customer"),
-        F.collect_list(prod).alias("products"))
-    # Documents hold up to 4 orders (bounded), keyed by order id bucket.
-    docs = orders.groupBy((F.col("order_id") / 4).cast("bigint").alias("doc")).agg(
-        F.parse_json(F.to_json(F.collect_list(F.struct("order_id", "order_date", "customer", "products")))).alias("mydata"))
+    docs = nested_order_documents(review_records(spark, sf_dir))
     f0 = J.flatten(docs, "mydata", "f0", keep=[])
     f1 = J.flatten_nested(f0, "f0", "products", "f1")
     return f1.select(
@@ -162,3 +154,23 @@ def e4_required_default(spark, sf_dir):
     return docs.where(J.node("f0", "review_id").isNotNull()).select(
         J.get("f0", "review_id").alias("review_id"),
         F.coalesce(J.get("f0", "quantity", "int"), F.lit(1)).alias("quantity"))
+
+
+@register("s14_s20_append_backup_restore", with_(R) + """
+SELECT DISTINCT customer_id, email, name, address FROM r
+""")
+def s14_s20(spark, sf_dir):
+    """S14 append (two slices), S16 backup copy, S17/S18 empty the table (an
+    empty snapshot with the same schema), S20 restore from the backup."""
+    cust = review_records(spark, sf_dir).select("customer_id", "email", "name", "address").distinct()
+    table = scratch_path(spark, "s14-table")
+    FS.append(cust.where(F.col("address") < "HOUSEHOLD"), table)
+    FS.append(cust.where(~(F.col("address") < "HOUSEHOLD")), table)
+    backup = scratch_path(spark, "s16-backup")
+    FS.copy_table(spark.read.parquet(table), backup)
+    emptied = scratch_path(spark, "s18-empty")
+    FS.empty_like(spark.read.parquet(table)).write.parquet(emptied)
+    assert spark.read.parquet(emptied).isEmpty()
+    restored = scratch_path(spark, "s20-restored")
+    FS.copy_table(spark.read.parquet(backup), restored)
+    return spark.read.parquet(restored)

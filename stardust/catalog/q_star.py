@@ -16,6 +16,7 @@ from ..operators import aggregate as A
 from ..operators import upsert as U
 from ..plans import star_load as SL
 from ..sources.tables import ARRIVAL_ORDER, review_records
+from ._register_helpers import nested_order_documents
 from ._registry import register
 from ._sql import R, with_
 
@@ -170,13 +171,7 @@ def m6_nested(spark, sf_dir):
     """M6: insert-only orders from the nested draft shape, one row per order
     and product; natural keys shown (surrogates come from the dimensions)."""
     r = review_records(spark, sf_dir)
-    prod = F.struct("product_id", "quantity")
-    orders = r.groupBy("order_id").agg(
-        F.min("review_date").alias("order_date"),
-        F.first(F.struct("customer_id", "email", "name", "address"), ignorenulls=True).alias("customer"),
-        F.collect_list(prod).alias("products"))
-    docs = orders.groupBy((F.col("order_id") / 4).cast("bigint").alias("doc")).agg(
-        F.parse_json(F.to_json(F.collect_list(F.struct("order_id", "order_date", "customer", "products")))).alias("mydata"))
+    docs = nested_order_documents(r)
     spark_ = r.sparkSession
     cust = r.select("customer_id").distinct().withColumn("customer_key", F.xxhash64("customer_id"))
     prods = r.select("product_id").distinct().withColumn("product_key", F.xxhash64("product_id"))

@@ -114,3 +114,17 @@ def drop_in(df: DataFrame, ids: DataFrame, col: str, id_col: str | None = None)
     id_col = id_col or col
     right = ids.select(F.col(id_col).alias("__id")).distinct()
     return df.join(right, F.coalesce(df[col], F.lit("")) == right["__id"], "left_anti")
+
+
+def python_filter(fn, *cols: str) -> Column:
+    """X1 escape hatch: a Python predicate over whole Arrow batches
+    (``fn(*pandas.Series) -> pandas.Series[bool]``); null results drop the row.
+    Prefer the column predicates above: they stay in the JVM."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.BooleanType())
+    def _pred(*series: pd.Series) -> pd.Series:
+        return fn(*series).astype("boolean")
+
+    return _nn(_pred(*[F.col(c) for c in cols]))

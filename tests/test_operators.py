@@ -151,3 +151,16 @@ def test_python_handler(spark):
         B.with_python_handler(df, _handler, stop_on_error=True).collect()
     with pytest.raises(ValueError):
         B.with_python_handler(df, _handler, batch_size=0)
+
+
+def test_python_filter_escape_hatch(spark, reviews):
+    pred = P.python_filter(lambda r, s: (s >= 4) & r.str.startswith("R"), "review_id", "star_rating")
+    assert ids(reviews.where(pred)) == ["R1", "R2"]
+
+
+def test_length_rule(spark):
+    from stardust.operators import validate as V
+    df = spark.createDataFrame([("Y",), ("YES",)], "verified_purchase string")
+    rule = V.length_check("verified_purchase", 1)
+    out = df.withColumn("errors", V.errors_column([rule])).collect()
+    assert [len(r["errors"]) for r in out] == [0, 1]
