@@ -123,8 +123,10 @@ def python_filter(fn, *cols: str) -> Column:
     import pandas as pd
     from pyspark.sql import types as T
 
+    names = list(cols)
+
     @F.pandas_udf(T.BooleanType())
-    def _pred(*series: pd.Series) -> pd.Series:
-        return fn(*series).astype("boolean")
+    def _pred(batch: pd.DataFrame) -> pd.Series:
+        return fn(*[batch[c] for c in names]).astype("boolean")
 
-    return _nn(_pred(*[F.col(c) for c in cols]))
+    return _nn(_pred(F.struct(*[F.col(c) for c in names])))
