@@ -7,8 +7,11 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import text as X
 
@@ -120,8 +123,6 @@ def python_filter(fn, *cols: str) -> Column:
     """X1 escape hatch: a Python predicate over whole Arrow batches
     (``fn(*pandas.Series) -> pandas.Series[bool]``); null results drop the row.
     Prefer the column predicates above: they stay in the JVM."""
-    import pandas as pd
-    from pyspark.sql import types as T
 
     names = list(cols)
 
