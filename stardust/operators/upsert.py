@@ -1,12 +1,15 @@
 """Keyed upsert, update and delete on immutable snapshots (M1, M7, M8, M9).
 
 Parquet tables refuse MERGE / UPDATE / DELETE, and files are immutable, so each
-write produces a new snapshot frame: ``upsert`` is one full outer join on the
-key (both sides shuffled on the key, or none when they share a bucketing),
-followed by per-column choices. A source row always wins for the listed update
-columns, even when its value is null (the marker column says "matched", not
-the value). New rows get surrogate keys from ``keys.assign_keys`` (no global
-window) and the insert defaults (M7).
+write produces a new snapshot frame. ``upsert`` is two joins with the (one row
+per key) source batch: target LEFT JOIN source applies the updates, source
+LEFT ANTI target finds the inserts. A batch is usually far smaller than the
+table, so Spark can broadcast it (runtime size check) in both joins and stream
+the table without shuffling it; a full outer join could not broadcast either
+side. A source row always wins for the listed update columns, even when its
+value is null (a marker column says "matched", not the value). New rows get
+surrogate keys from ``keys.assign_keys`` (no global window) and the insert
+defaults (M7).
 """
 
 from __future__ import annotations
@@ -32,10 +35,28 @@ def upsert(target: DataFrame, source: DataFrame, on: list[str], update: list[str
     on_update, on_insert = on_update or {}, on_insert or {}
     cols = target.columns
     src_cols = [c for c in source.columns if c not in on]
-    t = target.select(*on, *[F.col(c).alias(f"__t_{c}") for c in cols if c not in on], F.lit(True).alias("__in_t"))
     s = source.select(*on, *[F.col(c).alias(f"__s_{c}") for c in src_cols], F.lit(True).alias("__in_s"))
-    j = t.join(s, on, "full_outer")
-    in_t, in_s = F.coalesce(F.col("__in_t"), F.lit(False)), F.coalesce(F.col("__in_s"), F.lit(False))
+
+    # WHEN MATCHED: every target row, updated where the batch has its key.
+    j = target.join(s, on, "left")
+    hit = F.coalesce(F.col("__in_s"), F.lit(False))
+    kept = []
+    for c in cols:
+        if c in on:
+            kept.append(F.col(c))
+            continue
+        if c in update and c in src_cols:
+            new_v = F.col(f"__s_{c}")
+        elif c in on_update:
+            new_v = on_update[c]
+        else:
+            kept.append(F.col(c))
+            continue
+        kept.append(F.when(hit, new_v).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c))
+    existing = j.select(*kept)
+
+    # WHEN NOT MATCHED: batch rows whose key the target lacks.
+    new = s.join(target.select(*on), on, "left_anti")
 
     def insert_value(c: str) -> Column:
         if c in on_insert:
@@ -44,27 +65,12 @@ def upsert(target: DataFrame, source: DataFrame, on: list[str], update: list[str
             return F.col(f"__s_{c}")
         return F.lit(None)
 
-    out = []
-    for c in cols:
-        if c in on:
-            out.append(F.col(c))
-            continue
-        tv = F.col(f"__t_{c}")
-        if c in update and c in src_cols:
-            matched_v = F.col(f"__s_{c}")
-        elif c in on_update:
-            matched_v = on_update[c]
-        else:
-            matched_v = tv
-        out.append(F.when(in_t & in_s, matched_v).when(in_t, tv).otherwise(insert_value(c))
-                   .cast(target.schema[c].dataType).alias(c))
-    merged = j.select(*out, in_t.alias("__in_t"))
+    inserts = new.select(*[F.col(c) if c in on else insert_value(c).cast(target.schema[c].dataType).alias(c)
+                           for c in cols if c != surrogate])
     if surrogate is None:
-        return merged.drop("__in_t")
-    existing = merged.where("__in_t").drop("__in_t")
-    new = merged.where(~F.col("__in_t")).drop("__in_t", surrogate)
+        return existing.unionByName(inserts.select(*cols))
     top = key_floor if key_floor is not None else K.max_key(target, surrogate)
-    keyed = K.assign_keys(new, [F.col(c) for c in (surrogate_order or on)], surrogate, top)
+    keyed = K.assign_keys(inserts, [F.col(c) for c in (surrogate_order or on)], surrogate, top)
     return existing.unionByName(keyed.select(*cols))
 
 
