@@ -141,13 +141,15 @@ class SnapshotStore:
                 return False
             current = self.read(table, buckets)
             top = self.max_key(table)
-            merged = merge(current, top).persist()
+            merged = merge(current, top)
             new_top = top
-            if key_col:
+            if key_col:  # the key high-water mark needs one look at the new rows
+                merged = merged.persist()
                 m = merged.agg(F.max(key_col)).first()[0]
                 new_top = max(top, int(m) if m is not None else 0)
             self.commit_buckets(table, merged, buckets, batch_id, new_top)
-            merged.unpersist()
+            if key_col:
+                merged.unpersist()
             return True
         finally:
             src.unpersist()
