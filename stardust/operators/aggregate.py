@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from .. import schema as S
 
 
-def _int_rating(col: str) -> Column:
-    return F.col(col)
-
-
 def summary(df: DataFrame, rating: str = "star_rating", flag: str = "verified_purchase", digits: int | None = None) -> DataFrame:
     """A1 + A2 scalars in one pass: total, mean rating (0.0 if none), verified /
     unverified counts, verified rate (0.0 when no flags)."""
@@ -41,11 +37,25 @@ def category_counts(df: DataFrame, col: str = "product_category") -> DataFrame:
               .groupBy(col).agg(F.count(F.lit(1)).alias("n")))
 
 
-def summary_maps(df: DataFrame, rating: str = "star_rating") -> DataFrame:
-    """A1 with the rating map (bounded: at most one entry per distinct rating)."""
-    dist = star_distribution(df, rating).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(rating), F.col("n")))).alias("star_distribution"))
-    return summary(df, rating).crossJoin(dist)
+def summary_maps(df: DataFrame, rating: str = "star_rating", flag: str = "verified_purchase") -> DataFrame:
+    """A1 as one row with the rating map, in two aggregation steps and no join:
+    per rating (partial + final), then over those few rows (one per distinct
+    rating, so the map is bounded by the rating domain)."""
+    per = df.groupBy(rating).agg(F.count(F.lit(1)).alias("n"),
+                                 F.count_if(F.col(flag) == "Y").alias("y"),
+                                 F.count_if(F.col(flag) == "N").alias("no"))
+    rated = F.col(rating).isNotNull()
+    out = per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.try_divide(F.sum(F.when(rated, F.col(rating) * F.col("n"))).cast("double"),
+                                F.sum(F.when(rated, F.col("n")))), F.lit(0.0)).alias("avg_star_rating"),
+        F.coalesce(F.sum("y"), F.lit(0)).alias("verified_count"),
+        F.coalesce(F.sum("no"), F.lit(0)).alias("unverified_count"),
+        F.map_from_entries(F.filter(F.collect_list(F.struct(F.col(rating), F.col("n"))),
+                                    lambda e: e[rating].isNotNull())).alias("star_distribution"))
+    return out.withColumn("verified_rate", F.coalesce(
+        F.try_divide(F.col("verified_count").cast("double"), F.col("verified_count") + F.col("unverified_count")),
+        F.lit(0.0)))
 
 
 def top_counts(df: DataFrame, col: str, n: int, order_tie: list[Column] | None = None) -> DataFrame:

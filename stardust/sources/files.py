@@ -98,3 +98,25 @@ def copy_table(df: DataFrame, path: str) -> int:
 def empty_like(df: DataFrame) -> DataFrame:
     """An empty frame with the same schema."""
     return df.sparkSession.createDataFrame([], df.schema)
+
+
+def export_summary(df: DataFrame, path: str, rating: str = "star_rating", category: str = "product_category") -> int:
+    """The review summary as one pretty JSON object (averages rounded to 4):
+    total, avg_star_rating, star_distribution, category_counts, verified and
+    unverified counts, verified_rate. Both maps are built from aggregates; the
+    category map is bounded by the number of categories, which a summary report
+    is meant to list in full. Returns the number of records summarised."""
+    from ..operators import aggregate as A
+    summ = A.summary_maps(df, rating)
+    cats = A.category_counts(df, category).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(category), F.col("n")))).alias("category_counts"))
+    row = summ.select(
+        "total", F.round("avg_star_rating", 4).alias("avg_star_rating"), "star_distribution",
+        "verified_count", "unverified_count", F.round("verified_rate", 4).alias("verified_rate"))
+    # Both sides are single rows from global aggregates: a key-less equi join on a constant.
+    out = row.withColumn("__k", F.lit(1)).join(cats.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    text = out.select(F.to_json(F.struct("total", "avg_star_rating", "star_distribution", "category_counts",
+                                         "verified_count", "unverified_count", "verified_rate"),
+                                {"pretty": "true"}).alias("json"))
+    text.coalesce(1).write.mode("errorifexists").text(path)
+    return int(out.select("total").first()[0])

@@ -104,3 +104,14 @@ def test_kinds(spark):
     row = df.select(*[J.kind("v", k).alias(k) for k in "abcdez"]).first()
     assert row["a"] == "BIGINT" and row["b"].startswith("DECIMAL") and row["c"] == "STRING"
     assert row["d"] == "BOOLEAN" and row["e"] == "VOID" and row["z"] is None
+
+
+def test_export_summary(spark, tmpdir_fresh):
+    import glob
+    df = spark.createDataFrame([valid_review(star_rating=5), valid_review(star_rating=4, verified_purchase="N",
+                                                                          product_category="Audio")])
+    assert FS.export_summary(df, f"{tmpdir_fresh}/summary") == 2
+    text = "".join(open(f).read() for f in glob.glob(f"{tmpdir_fresh}/summary/part-*"))
+    data = json.loads(text)
+    assert data["total"] == 2 and data["avg_star_rating"] == 4.5 and data["verified_rate"] == 0.5
+    assert data["star_distribution"] == {"5": 1, "4": 1} and data["category_counts"] == {"Electronics": 1, "Audio": 1}

@@ -164,3 +164,10 @@ def test_length_rule(spark):
     rule = V.length_check("verified_purchase", 1)
     out = df.withColumn("errors", V.errors_column([rule])).collect()
     assert [len(r["errors"]) for r in out] == [0, 1]
+
+
+def test_summary_maps_one_pass(spark, reviews):
+    row = A.summary_maps(reviews).first()
+    assert row["total"] == 5 and row["verified_count"] == 4 and abs(row["avg_star_rating"] - 3.0) < 1e-9
+    assert dict(row["star_distribution"]) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
+    assert abs(row["verified_rate"] - 0.8) < 1e-9
