@@ -131,3 +131,30 @@ FROM cur GROUP BY 1, 2, 3
 def q8_failures(spark, sf_dir):
     """Runs and failures per day, source and state."""
     return AU.failures_per_day(AU.batch_events(batch_outcomes(spark, sf_dir)), F.current_timestamp())
+
+
+@register("c8_stream_review_run", with_(R, C) + f"""
+SELECT review_id, review_date, star_rating, verified_purchase FROM c
+WHERE {VALID} AND star_rating BETWEEN 4 AND 5 AND verified_purchase = 'Y'
+""")
+def c8_stream_run(spark, sf_dir):
+    """The review run as a file stream over two NDJSON drops (split by
+    arrival), one availableNow run per drop; the sink holds every valid,
+    filtered record exactly once."""
+    from ..sources import files as FS
+    from ..sources.tables import review_records
+    from ..streaming.reviews import ReviewStream
+    base = scratch_path(spark, "c8-stream")
+    r = review_records(spark, sf_dir)
+    fields = ["review_id", "review_date", "customer_id", "product_id", "product_title", "product_category",
+              "star_rating", "review_body", "helpful_votes", "verified_purchase"]
+    cut = F.lit("1998-07-01").cast("timestamp_ntz")
+    rs = ReviewStream(spark, f"{base}/in/*/*.json", f"{base}/out", f"{base}/ckpt",
+                      filters=[P.star_between(4, 5), P.verified(True)], quarantine_dir=f"{base}/bad")
+    FS.write_ndjson(r.where(F.col("loaded_timestamp") < cut).select(*fields), f"{base}/in/drop1")
+    rs.run_available()
+    FS.write_ndjson(r.where(F.col("loaded_timestamp") >= cut).select(*fields), f"{base}/in/drop2")
+    rs.run_available()
+    out = spark.read.schema("review_id string, review_date string, star_rating int, verified_purchase string") \
+        .json(f"{base}/out/*")
+    return out
