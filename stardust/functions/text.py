@@ -47,6 +47,8 @@ def nfc(col: str | Column) -> Column:
 
 
 WS = "(?U)\\s+"
+# All ASCII control characters (0x00-0x1f, 0x7f): the removed ones plus tab, newline, CR.
+_CTRL_AND_WS = "".join(chr(c) for c in range(0x20)) + chr(0x7F)
 
 
 def clean_text(col: str | Column, normalise: bool = True) -> Column:
@@ -60,8 +62,10 @@ def clean_text(col: str | Column, normalise: bool = True) -> Column:
     raw = _c(col)
     # Printable ASCII with single inner spaces and no edge spaces is already clean.
     non_ascii = has_non_ascii(raw)
-    needs = (non_ascii | raw.rlike(S.CONTROL_CHARS_CLASS + "|\\t|\\n|\\r") | (F.instr(raw, "  ") > 0)
-             | raw.startswith(" ") | raw.endswith(" "))
+    # Control characters or tab/newline/CR present: deleting them all with
+    # ``translate`` (a per-character table, no regex) changes the length.
+    has_ctrl = F.length(F.translate(raw, _CTRL_AND_WS, "")) != F.length(raw)
+    needs = (non_ascii | has_ctrl | (F.instr(raw, "  ") > 0) | raw.startswith(" ") | raw.endswith(" "))
     c = nfc(raw) if normalise else raw
     c = F.regexp_replace(c, S.CONTROL_CHARS_CLASS, "")
     uni = F.regexp_replace(F.regexp_replace(c, WS, " "), "(?U)^\\s+|\\s+$", "")
