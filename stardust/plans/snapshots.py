@@ -99,6 +99,11 @@ class SnapshotStore:
         df = df.where(F.col("bucket").isin([b for b, _, _, _ in st]) & F.struct("bucket", "token").isin(pairs))
         return df.select(*self.schemas[table].fieldNames())
 
+    def read_for_keys(self, table: str, keys: DataFrame, key: str) -> DataFrame:
+        """Only the buckets that can hold ``keys`` (lookups for one batch read
+        a fraction of a large dimension instead of all of it)."""
+        return self.read(table, self.touched(table, keys.where(F.col(key).isNotNull()), key))
+
     def _stored_schema(self, table: str) -> T.StructType:
         return T.StructType(self.schemas[table].fields + [T.StructField("bucket", T.IntegerType()),
                                                            T.StructField("token", T.StringType())])
