@@ -64,6 +64,7 @@ def test_stream_two_drops_restart_and_empty_trigger(spark, tmpdir_fresh):
     log = ld2.table("batch_log")
     assert log.where(F.col("status") == "SUCCESS").count() == 2
     assert spark.read.parquet(f"{base}/star/_quarantine").count() == 1
+    assert ld2.table("consumption_log").agg(F.sum("records_consumed")).first()[0] == 5
 
 
 def test_snapshot_replay_is_skipped(spark, tmpdir_fresh):
