@@ -120,6 +120,9 @@ class SnapshotStore:
         token = f"b{batch_id}-{uuid.uuid4().hex[:10]}"
         (rows.select(*self.schemas[table].fieldNames())
              .withColumn("bucket", bucket_of(key, self.n)).withColumn("token", F.lit(token))
+             # REBALANCE by bucket: AQE groups each bucket's rows into few files,
+             # coalescing small partitions and splitting large ones.
+             .hint("rebalance", "bucket")
              .write.mode("append").partitionBy("bucket", "token").parquet(f"{self.root}/{table}"))
         now = dt.datetime.now()
         commits = [(table, b, token, batch_id, max_key, now) for b in buckets]
