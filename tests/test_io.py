@@ -115,3 +115,23 @@ def test_export_summary(spark, tmpdir_fresh):
     data = json.loads(text)
     assert data["total"] == 2 and data["avg_star_rating"] == 4.5 and data["verified_rate"] == 0.5
     assert data["star_distribution"] == {"5": 1, "4": 1} and data["category_counts"] == {"Electronics": 1, "Audio": 1}
+
+
+def test_cli_validate(spark, tmpdir_fresh, capsys):
+    from stardust import cli
+    p = f"{tmpdir_fresh}/in/a.jsonl"
+    write_text(p, "\n".join(json.dumps(r) for r in [valid_review(), {"review_id": "X"}, valid_review(review_id="R2")]) + "\n")
+    assert cli.main(["validate", f"{tmpdir_fresh}/in"]) == 0
+    assert cli.main(["validate", f"{tmpdir_fresh}/in", "--strict"]) == 1
+    out = capsys.readouterr().out
+    assert '"invalid_count": 1' in out and "X: Missing fields" in out
+    assert cli.main(["validate", f"{tmpdir_fresh}/in", "--limit", "2"]) == 0
+
+
+def test_cli_run(spark, tmpdir_fresh, capsys):
+    from stardust import cli
+    write_text(f"{tmpdir_fresh}/in/a.jsonl", "\n".join(json.dumps(valid_review(review_id=f"R{i}", star_rating=1 + i % 5))
+                                                      for i in range(10)) + "\n")
+    assert cli.main(["run", f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", "--min-stars", "4", "--verified"]) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["processed_records"] == 4 and stats["total_records"] == 10
