@@ -197,15 +197,19 @@ def errors_column(rules: list[Rule]) -> Column:
 
 
 def annotate(df: DataFrame, v: str | None = "v", null_is_missing: bool = False,
-             bool_is_int: bool = False, out: str = "errors", text_cols: tuple[str, ...] = ()) -> DataFrame:
+             bool_is_int: bool = False, out: str = "errors", text_cols: tuple[str, ...] = (),
+             extra_rules: list[Rule] | None = None) -> DataFrame:
     """V6: add the ``errors`` array; raw records when ``v`` is a VARIANT column
     of ``df`` (``text_cols`` name cleaned text columns to check instead of the
-    raw text), typed columns otherwise."""
+    raw text), typed columns otherwise. ``extra_rules`` (X2: user validators as
+    column rules) are checked after the built-in ones."""
     if v is not None and v in df.columns:
         acc = VariantAccess(v, bool_is_int, text_cols)
-        checked = acc.cleanup(acc.prepare(df).withColumn(out, errors_column(review_rules(acc, null_is_missing))))
+        rules = review_rules(acc, null_is_missing) + list(extra_rules or [])
+        checked = acc.cleanup(acc.prepare(df).withColumn(out, errors_column(rules)))
     else:
-        checked = df.withColumn(out, errors_column(review_rules(TypedAccess(df.schema), null_is_missing)))
+        rules = review_rules(TypedAccess(df.schema), null_is_missing) + list(extra_rules or [])
+        checked = df.withColumn(out, errors_column(rules))
     # Fenced: later filters on the errors must not re-evaluate the rules below.
     return fence(checked, "validation")
 

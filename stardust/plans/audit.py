@@ -136,3 +136,8 @@ class RunMetrics:
                                              T.DoubleType() if isinstance(v, float) else T.LongType())
                                for k, v in s.items()])
         return spark.createDataFrame([tuple(s.values())], schema)
+
+
+def batches_on(events: DataFrame, day: Column) -> DataFrame:
+    """Q6: today's batches (``DATE(batch_timestamp) = day``), newest first."""
+    return current_batches(events).where(F.to_date("batch_timestamp") == day).orderBy(F.col("batch_timestamp").desc())

@@ -106,3 +106,10 @@ def test_review_run_metrics(spark, tmpdir_fresh):
     assert m.error_summary == {"Missing fields": 1, "star_rating": 1}
     assert spark.read.json(f"{tmpdir_fresh}/out").count() == 4
     assert set(m.stats()) >= {"run_id", "duration_s", "throughput_rps", "total_records"}
+
+
+def test_extra_rule(spark):
+    recs = [valid_review(), valid_review(review_body="x" * 3000)]
+    ann = V.annotate(RV.extract(N.parse_lines(lines_frame(spark, recs))),
+                     extra_rules=[V.length_check("review_body", 2000)])
+    assert sorted(r[0] for r in ann.select(F.size("errors")).collect()) == [0, 1]
