@@ -47,8 +47,6 @@ def nfc(col: str | Column) -> Column:
 
 
 WS = "(?U)\\s+"
-# All ASCII control characters (0x00-0x1f, 0x7f): the removed ones plus tab, newline, CR.
-_CTRL_AND_WS = "".join(chr(c) for c in range(0x20)) + chr(0x7F)
 
 
 def clean_text(col: str | Column, normalise: bool = True) -> Column:
@@ -56,21 +54,18 @@ def clean_text(col: str | Column, normalise: bool = True) -> Column:
     whitespace run to one space, then strip. The order matters: a vertical tab
     is deleted (joining words) before whitespace is collapsed.
 
-    ASCII text takes a cheaper, equivalent branch: once control characters are
-    gone, its only whitespace is tab, newline, carriage return and space, and
-    after collapsing, ``trim`` (spaces) is a full strip."""
+    ASCII text takes a cheaper, equivalent branch (no Python, no Unicode
+    classes): once control characters are gone its only whitespace is tab,
+    newline, carriage return and space, and after collapsing, ``trim`` is a
+    full strip. Measured: running these two plain regexes on every ASCII value
+    is cheaper than testing first whether a value needs them."""
     raw = _c(col)
-    # Printable ASCII with single inner spaces and no edge spaces is already clean.
     non_ascii = has_non_ascii(raw)
-    # Control characters or tab/newline/CR present: deleting them all with
-    # ``translate`` (a per-character table, no regex) changes the length.
-    has_ctrl = F.length(F.translate(raw, _CTRL_AND_WS, "")) != F.length(raw)
-    needs = (non_ascii | has_ctrl | (F.instr(raw, "  ") > 0) | raw.startswith(" ") | raw.endswith(" "))
     c = nfc(raw) if normalise else raw
     c = F.regexp_replace(c, S.CONTROL_CHARS_CLASS, "")
     uni = F.regexp_replace(F.regexp_replace(c, WS, " "), "(?U)^\\s+|\\s+$", "")
     ascii_ = F.trim(F.regexp_replace(F.regexp_replace(raw, S.CONTROL_CHARS_CLASS, ""), "[\\t\\n\\r ]+", " "))
-    return F.when(~needs, raw).when(non_ascii, uni).otherwise(ascii_)
+    return F.when(non_ascii, uni).otherwise(ascii_)
 
 
 def clean_review(df: DataFrame, fields: tuple[str, ...] = S.TEXT_FIELDS, normalise: bool = True) -> DataFrame:
