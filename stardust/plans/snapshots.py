@@ -5,13 +5,13 @@ of a batch proportional to the keys it touches (not to the table), rows live
 in ``bucket = pmod(xxhash64(key), n)`` partitions, and each write of a bucket
 gets a fresh ``token`` partition: ``<root>/<table>/bucket=B/token=T/``.
 
-A small append-only commit table ``<root>/_commits`` maps (table, bucket) to
+A small append-only commit table ``<root>/_commits/gen=G`` maps (table, bucket) to
 its current token, plus the batch id that produced it and the table's key
 high-water mark. Data is written first and committed second, so a crash
 leaves at most an orphan token that nothing reads; a replayed batch id whose
 commit exists is skipped (idempotent ``foreachBatch``). Reads prune to the
 committed (bucket, token) partitions; the commit set is bounded by tables x
-buckets.
+buckets. ``compact`` starts a new generation holding only what is still needed.
 """
 
 from __future__ import annotations
@@ -40,25 +40,56 @@ class SnapshotStore:
         self.spark, self.root, self.schemas, self.keys, self.n = spark, root.rstrip("/"), schemas, keys, buckets
         self._ready = False
         self._cache: list | None = None  # commit rows, read once per batch (bounded)
+        self._cache_gen: int | None = None
 
     def _ensure_log(self) -> None:
         """Create the (empty) commit table once, so reads never hit a missing path."""
         if self._ready:
             return
         try:
-            self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits").limit(0).collect()
+            self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits/gen=0").limit(0).collect()
         except Exception:  # noqa: BLE001 - first use of this root
-            self.spark.createDataFrame([], COMMITS).write.mode("append").parquet(f"{self.root}/_commits")
+            self.spark.createDataFrame([], COMMITS).write.mode("append").parquet(f"{self.root}/_commits/gen=0")
         self._ready = True
 
     # -- commit log ---------------------------------------------------------
+    def _gen(self) -> int:
+        """Current generation of the commit table (bumped by ``compact``)."""
+        try:
+            g = self.spark.read.parquet(f"{self.root}/_commits_gen").agg(F.max("gen")).first()[0]
+        except Exception:  # noqa: BLE001 - never compacted
+            return 0
+        return int(g or 0)
+
     def _commits(self) -> DataFrame:
         self._ensure_log()
-        return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")
+        if self._cache_gen is None:
+            self._cache_gen = self._gen()
+        return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits/gen={self._cache_gen}")
+
+    def compact(self, keep_batches: int = 100) -> int:
+        """Rewrite the commit table as a new generation holding only the latest
+        commit per (table, bucket) plus the commits of the last ``keep_batches``
+        batch ids (enough to recognise a replayed batch), then switch readers to
+        it. Older generations are never read again. Single writer: call it from
+        the stream's batch function, between batches. Returns the new generation."""
+        c = self._commits()
+        recent = [r[0] for r in c.select("batch_id").distinct().orderBy(F.col("batch_id").desc())
+                  .limit(keep_batches).collect()]
+        latest = c.groupBy("table_name", "bucket").agg(
+            F.max_by(F.struct(*COMMITS.fieldNames()), F.struct("committed_at", "batch_id")).alias("s")).select("s.*")
+        keep = latest.unionByName(c.where(F.col("batch_id").isin(recent))).distinct()
+        g = self._cache_gen + 1
+        keep.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_commits/gen={g}")
+        self.spark.createDataFrame([(g, dt.datetime.now())], "gen int, at timestamp_ntz") \
+            .write.mode("append").parquet(f"{self.root}/_commits_gen")
+        self.refresh()
+        return g
 
     def refresh(self) -> None:
         """Forget the cached commit state (call when another writer may have committed)."""
         self._cache = None
+        self._cache_gen = None
 
     def _current(self) -> list:
         """Latest commit per (table, bucket), plus every (table, batch_id) applied.
@@ -126,7 +157,10 @@ class SnapshotStore:
              .write.mode("append").partitionBy("bucket", "token").parquet(f"{self.root}/{table}"))
         now = dt.datetime.now()
         commits = [(table, b, token, batch_id, max_key, now) for b in buckets]
-        self.spark.createDataFrame(commits, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/_commits")
+        if self._cache_gen is None:
+            self._cache_gen = self._gen()
+        self.spark.createDataFrame(commits, COMMITS).coalesce(1).write.mode("append") \
+            .parquet(f"{self.root}/_commits/gen={self._cache_gen}")
         if self._cache is not None:  # keep the cached state in step with the commit
             rows, applied = self._cache
             rows = [r for r in rows if not (r[0] == table and r[1] in set(buckets))]

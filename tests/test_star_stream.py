@@ -134,3 +134,19 @@ def test_replay_after_mid_batch_failure(spark, tmpdir_fresh, monkeypatch):
     log = ld.table("batch_log")
     assert log.where(F.col("status") == "FAILED").count() == 1
     assert log.where(F.col("status") == "SUCCESS").count() == 1
+
+
+def test_commit_log_compaction(spark, tmpdir_fresh):
+    store = SnapshotStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, buckets=4)
+    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")
+    schema = "customer_id string, email string, name string, address string"
+    for b in range(4):
+        src = spark.createDataFrame([(f"C{b + 1}", "e", "n", "a"), ("C0", f"e{b}", "n", "a")], schema)
+        store.upsert("customers", src, lambda cur, top, src=src: SL.merge_customers(cur, src, now, top), b,
+                     "customer_key")
+    before = sorted(tuple(r) for r in store.read("customers").collect())
+    assert store.compact(keep_batches=2) == 1
+    store2 = SnapshotStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, buckets=4)
+    assert sorted(tuple(r) for r in store2.read("customers").collect()) == before
+    assert store2.applied("customers", 3) and not store2.applied("customers", 0)
+    assert store2.max_key("customers") == 5
