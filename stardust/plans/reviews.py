@@ -10,6 +10,7 @@ from .. import schema as S
 from ..functions import jsonpath as J
 from ..functions import text as X
 from ..operators import validate as V
+from ..operators.fence import fence
 from ..sources import ndjson as N
 from ..sources.tables import review_records
 
@@ -21,7 +22,9 @@ def review_lines(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = RAW
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """The review feed as NDJSON text lines (``value``), one per review row,
     derived from the driver's tables (the reference's input is JSON)."""
-    return N.to_lines(review_records(spark, sf_dir), list(fields), list(keep))
+    # Fenced: the parser's blank-line filter must read the serialised text, not
+    # be pushed below it (which re-serialises each row inside the joins).
+    return fence(N.to_lines(review_records(spark, sf_dir), list(fields), list(keep)), "feed")
 
 
 def extract(parsed: DataFrame, types: dict[str, str] = S.REVIEW_TYPES, v: str = "v",
