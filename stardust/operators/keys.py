@@ -21,11 +21,13 @@ def dense_index(df: DataFrame, order: list[Column], out: str = "seq", start: int
                 partitions: int | None = None) -> DataFrame:
     """0-based (plus ``start``) position of every row in ``order``; equals
     ``row_number() over (order by ...) - 1 + start`` for a total order."""
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_df = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
-                   .withColumn("__pid", F.spark_partition_id())
-                   .withColumn("__mid", F.monotonically_increasing_id()))
+    # A global sort is a range partitioning plus a sort inside each partition;
+    # AQE merges adjacent small ranges, so partition ids stay in key order and
+    # a small batch does not fan out into hundreds of tiny partitions.
+    ordered = (df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+               if partitions else df.orderBy(*order))
+    sorted_df = (ordered.withColumn("__pid", F.spark_partition_id())
+                        .withColumn("__mid", F.monotonically_increasing_id()))
     # Cut lineage: both passes below read the same materialised rows, with each
     # row's partition id and position stored (so re-reads cannot reorder them).
     sorted_df = materialize(sorted_df, "dense-index")
