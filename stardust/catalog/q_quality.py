@@ -247,3 +247,12 @@ SELECT customer_id, email, name, address FROM (
 def w1_latest(spark, sf_dir):
     r = review_records(spark, sf_dir).where(F.col("customer_id").isNotNull())
     return D.latest(r, "customer_id", arrival_order()).select("customer_id", "email", "name", "address")
+
+
+@register("v9_assert_valid_passes", with_(R, C, VCTE) + "SELECT review_id, star_rating FROM v")
+def v9_assert(spark, sf_dir):
+    """V9: the fail-on-first-invalid check over the valid split passes every
+    row through (an invalid row would fail the task with its messages)."""
+    ann = RV.validated_reviews(spark, sf_dir)
+    valid = ann.where(F.size("errors") == 0)
+    return V.assert_valid(valid).select("review_id", "star_rating")
