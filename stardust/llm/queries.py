@@ -3,9 +3,10 @@ where SQL cannot express the operator; its tests hold a brute-force version)."""
 
 from __future__ import annotations
 
-from . import op5_mix
+from . import op1_divergence, op5_mix
 
 QUERIES = {
+    "op1_divergence": op1_divergence.op1_divergence,
     "op5_mix": op5_mix.op5_mix,
 }
 
