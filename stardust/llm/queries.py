@@ -3,10 +3,11 @@ where SQL cannot express the operator; its tests hold a brute-force version)."""
 
 from __future__ import annotations
 
-from . import op1_divergence, op5_mix
+from . import op1_divergence, op4_langid, op5_mix
 
 QUERIES = {
     "op1_divergence": op1_divergence.op1_divergence,
+    "op4_langid": op4_langid.op4_langid,
     "op5_mix": op5_mix.op5_mix,
 }
 
