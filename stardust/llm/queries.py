@@ -3,12 +3,13 @@ where SQL cannot express the operator; its tests hold a brute-force version)."""
 
 from __future__ import annotations
 
-from . import op1_divergence, op4_langid, op5_mix, op10_pack
+from . import op1_divergence, op4_langid, op5_mix, op9_rans, op10_pack
 
 QUERIES = {
     "op1_divergence": op1_divergence.op1_divergence,
     "op4_langid": op4_langid.op4_langid,
     "op5_mix": op5_mix.op5_mix,
+    "op9_rans": op9_rans.op9_rans,
     "op10_pack": op10_pack.op10_pack,
 }
 
