@@ -136,7 +136,7 @@ def _round(items: DataFrame, level: int, rule: str, capacity, weights) -> DataFr
 def pack(df: DataFrame, capacity=CAPACITY, weights=WEIGHTS, rule: str = "norm") -> DataFrame:
     """Every row of ``df`` (with ``length``) with ``sequence_id`` and ``offset``."""
     kept = [c for c in df.columns if c.lower() not in ("sequence_id", "offset")]
-    src = materialize(df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("length").cast("long").alias("tokens")), "pack-rows")
+    src = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("length").cast("long").alias("tokens"))
     src = materialize(src.withColumn("item", F.monotonically_increasing_id()), "pack-items")  # the numbers are fixed by writing them
     items = src.select("item", "tokens", F.lit(1).cast("long").alias("documents"), (F.col("tokens") * F.col("tokens")).alias("cost"))
     done = materialize(_round(items, 0, rule, capacity, weights), "pack-round0")

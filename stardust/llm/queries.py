@@ -3,11 +3,12 @@ where SQL cannot express the operator; its tests hold a brute-force version)."""
 
 from __future__ import annotations
 
-from . import op1_divergence, op2_chat, op4_langid, op5_mix, op9_rans, op10_pack
+from . import op1_divergence, op2_chat, op3_lines, op4_langid, op5_mix, op9_rans, op10_pack
 
 QUERIES = {
     "op1_divergence": op1_divergence.op1_divergence,
     "op2_chat": op2_chat.op2_chat,
+    "op3_lines": op3_lines.op3_lines,
     "op4_langid": op4_langid.op4_langid,
     "op5_mix": op5_mix.op5_mix,
     "op9_rans": op9_rans.op9_rans,
