@@ -43,16 +43,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows of that id, the smallest text hash). Documents without words all stay."""
     every, classes, links = op7_jaccard.jaccard_links(docs, k=5, percent=80)
     comp = op7_jaccard.components(materialize(links, "pipeline-links"))
-    c = classes.join(comp, F.col("cid") == F.col("id"), "left").select("f1", "f2", F.coalesce("component", "cid").alias("comp"))
+    c = classes.join(comp, classes["cid"] == comp["id"], "left").select("f1", "f2", F.coalesce("component", "cid").alias("comp"))
     rows = every.where("n > 0").join(c, ["f1", "f2"])
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")
     keep = materialize(rows.groupBy("comp").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("d"), F.col("x.th").alias("h")), "pipeline-kept")
     th = free_name(docs, "th")
     src = docs.withColumn(th, F.xxhash64("text"))
-    blank = src.where(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
-    own = src.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).join(keep, (F.col(th) == F.col("h")) & F.col("doc_id").cast("long").eqNullSafe(F.col("d")))
+    worded = F.coalesce(src["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = src.where(worded).join(keep, (src[th] == keep["h"]) & src["doc_id"].cast("long").eqNullSafe(keep["d"])).select(*[src[c] for c in src.columns])
     own = own.dropDuplicates(["doc_id", th])  # rows that repeat
-    return own.select(*docs.columns).unionByName(blank.select(*docs.columns))
+    return own.select(*docs.columns).unionByName(src.where(~worded).select(*docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +62,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     thin = src.select("doc_id", "source", F.xxhash64("text").alias("th"), F.col(size).alias("words"))
     got = op5_mix.mix(thin, F.col("words"), F.struct("doc_id", "th"))
     got = got.groupBy("doc_id", "source", "th").agg(F.max("copies").alias("n")).select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("th").alias("h"), "n")
-    on = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & F.xxhash64("text").eqNullSafe(F.col("h"))
-    taken = docs.join(got, on).where("n > 0").withColumn(copies, F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    on = docs["doc_id"].eqNullSafe(got["d"]) & docs["source"].eqNullSafe(got["s"]) & F.xxhash64(docs["text"]).eqNullSafe(got["h"])
+    taken = docs.join(got, on).where(got["n"] > 0).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), got["n"].cast("int"))).alias(copies))
     return taken.select(*docs.columns)
 
 

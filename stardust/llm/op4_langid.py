@@ -101,7 +101,7 @@ def fit(df: DataFrame, per_family: int = PER_FAMILY) -> dict:
     rows = df.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}")).select("lang", family_of(F.col("lang")).alias("family"), "text", F.xxhash64("text").alias("h"))
     keys = materialize(rows.select("family", "lang", "h").distinct(), "langid-keys")
     # about 3 * per_family hashes of each language go on to be ranked, however many it has
-    size = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    size = materialize(keys.groupBy("lang").agg(F.count("*").alias("n")), "langid-sizes")
     near = keys.join(size, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.lit(3.0 * per_family * (1 << 30)) / F.col("n"))
     ranked = near.withColumn("k", F.row_number().over(Window.partitionBy("family", "lang").orderBy("h"))).where(F.col("k") <= per_family)
     ranked = ranked.withColumn("j", F.row_number().over(Window.partitionBy("family").orderBy("k", "lang"))).where(F.col("j") <= per_family)

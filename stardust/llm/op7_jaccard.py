@@ -204,17 +204,19 @@ def blocks(classes: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
 
     rows = classes.select("cid", "n", "low").mapInArrow(spread, "t long, cid long, kind int").repartition("t").sortWithinPartitions("t", "kind", "cid")
 
+    bucket = BUCKET
+
     def gathered(batches):
-        """Runs of equal shingles, cut to chunks of BUCKET; a chunk pair is a block."""
+        """Runs of equal shingles, cut to chunks of ``bucket``; a chunk pair is a block."""
         held, kinds, at = [], [], None
 
         def flush():
             if len(held) < 2 or kinds[0] == 1:  # alone, or common and needed by none
                 return
             lead = held if kinds[0] == 2 else [c for c, k in zip(held, kinds) if k == 0]
-            for a in range(0, len(lead), BUCKET):
-                for b in range(a if kinds[0] == 2 else 0, len(held), BUCKET):
-                    left, right = lead[a:a + BUCKET], held[b:b + BUCKET]
+            for a in range(0, len(lead), bucket):
+                for b in range(a if kinds[0] == 2 else 0, len(held), bucket):
+                    left, right = lead[a:a + bucket], held[b:b + bucket]
                     both = sorted(set(left) | set(right))
                     if len(both) > 1:
                         yield both
@@ -244,11 +246,13 @@ def blocks(classes: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
     return materialize(got.dropDuplicates(["block", "size"]).select("block", F.explode("cids").alias("cid")), "jaccard-blocks")
 
 
-def _runs(batches, key: str, columns: list[str], work):
-    """Calls ``work(rows)`` for every run of equal ``key`` in sorted batches."""
+def _runs(batches, key: str, columns: list[str], work, made=None):
+    """Calls ``work(rows)`` for every run of equal ``key`` in sorted batches; with
+    ``made``, each row ends with what ``made(batch)`` has for it."""
     held, at = [], None
     for b in batches:
-        for row in zip(*[b.column(c).to_pylist() for c in [key, *columns]]):
+        more = [made(b)] if made else []
+        for row in zip(*[b.column(c).to_pylist() for c in [key, *columns]], *more):
             if row[0] != at:
                 if held:
                     yield from work(held)
@@ -284,12 +288,13 @@ def candidates(classes: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     return materialize(pairs.distinct(), "jaccard-candidates")
 
 
-def verified(sets: DataFrame, tasks: DataFrame, percent: int, cross: bool) -> DataFrame:
-    """Links among the sets of every task ``(task, cid, label, side)``, a forest of
-    them. ``cross``: only pairs of different sides."""
+def verified(texts: DataFrame, tasks: DataFrame, k: int, percent: int, cross: bool) -> DataFrame:
+    """Links among the whole sets of every task ``(task, cid, label, side, d, h)``, a
+    forest of them. ``texts(doc_id, th, text)`` has the texts: ``d, h`` says which.
+    ``cross``: only pairs of different sides."""
     def work(rows):
-        cid, label, side, raw = zip(*rows)
-        s = [np.frombuffer(x, np.uint64) for x in raw]
+        rows = list({r[0]: r for r in rows}.values())  # rows of the same id and text
+        cid, label, side, s = zip(*rows)
         sizes = [len(x) for x in s]
         tree = Tree(sizes, [signature(x, 1, 4) for x in s], sizes)
         far = np.array(side)
@@ -303,8 +308,12 @@ def verified(sets: DataFrame, tasks: DataFrame, percent: int, cross: bool) -> Da
         for i, j in link(tree, percent, label, same, (lambda x, y: far[x] != far[y]) if cross else None):
             yield (min(cid[i], cid[j]), max(cid[i], cid[j]))
 
-    rows = tasks.join(sets, "cid").repartition("task").sortWithinPartitions("task", "cid")
-    return rows.mapInArrow(lambda bs: _links(_runs(bs, "task", ["cid", "label", "side", "raw"], work)), "a long, b long")
+    def run(batches):
+        return _links(_runs(slices(batches, "text"), "task", ["cid", "label", "side"], work, lambda b: sets_of(b.column("text"), k)))
+
+    # texts travel, not sets: a text is smaller than the hashes of its shingles
+    rows = texts.join(tasks, F.col("th").eqNullSafe(F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("task", "cid", "label", "side", "text")
+    return rows.repartition("task").sortWithinPartitions("task", "cid").mapInArrow(run, "a long, b long")
 
 
 def jaccard_links(df: DataFrame, k: int = 3, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -322,20 +331,13 @@ def jaccard_links(df: DataFrame, k: int = 3, percent: int = PERCENT) -> tuple[Da
     who = materialize(who.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")), "jaccard-members")
 
     texts = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    texts = texts.join(who.select("id", "d", "h"), F.col("th").eqNullSafe(F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("id", "text")
-
-    def raw(batches):
-        for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([s.tobytes() for s in sets_of(b.column("text"), k)], pa.binary())], names=["cid", "raw"])
-
-    sets = materialize(texts.mapInArrow(raw, "cid long, raw binary").dropDuplicates(["cid"]), "jaccard-sets")
-    one = who.select(F.col("id").alias("cid"), F.col("id").alias("label"), F.lit(0).alias("side"), "group", "chunk", "chunks")
+    one = who.select(F.col("id").alias("cid"), F.col("id").alias("label"), F.lit(0).alias("side"), "group", "chunk", "chunks", "d", "h")
     nth = F.row_number().over(Window.partitionBy("group").orderBy("cid"))
     pivots = one.where("chunks > 1").withColumn("nth", nth).where(F.col("nth") <= PIVOTS)
     pivots = pivots.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("to <> chunk").withColumn("chunk", F.col("to"))
     key = F.xxhash64("group", "chunk").alias("task")
-    cols = ["cid", "label", "side"]
-    links = materialize(verified(sets, one.select(key, *cols).unionByName(pivots.select(key, *cols)), percent, False), "jaccard-links")
+    cols = ["cid", "label", "side", "d", "h"]
+    links = materialize(verified(texts, one.select(key, *cols).unionByName(pivots.select(key, *cols)), k, percent, False), "jaccard-links")
 
     # groups of several chunks that the pivots did not connect: every pair of chunks
     large = one.where("chunks > 1")
@@ -347,7 +349,7 @@ def jaccard_links(df: DataFrame, k: int = 3, percent: int = PERCENT) -> tuple[Da
         large = large.join(apart, "group")
         other = large.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("to <> chunk")
         pair = F.xxhash64("group", F.least("chunk", "to"), F.greatest("chunk", "to"))
-        links = links.unionByName(verified(sets, other.select(pair.alias("task"), "cid", "label", F.col("chunk").alias("side")), percent, True))
+        links = links.unionByName(verified(texts, other.select(pair.alias("task"), "cid", "label", F.col("chunk").alias("side"), "d", "h"), k, percent, True))
     return every, classes, links
 
 
