@@ -122,7 +122,7 @@ def test_op8_catches_planted_passages(spark, edge, empty):
     left = {r.doc_id: r.text for r in op8_passages.without(df, runs).collect()}
     assert len(left) == len(texts) and all(left[i] == t for i, t in enumerate(texts) if i not in cut)
     assert all(len(left[i]) < len(texts[i]) - 100 for i in cut)
-    assert op8_passages.repeated(edge).count() >= 1 and op8_passages.repeated(empty.select("doc_id", "text")).count() == 0
+    assert op8_passages.repeated(edge).count() == 0 and op8_passages.repeated(empty.select("doc_id", "text")).count() == 0
 
 
 def test_op8_bands_reach_the_recall():
