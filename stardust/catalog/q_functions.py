@@ -80,12 +80,12 @@ SELECT review_id,
   CASE WHEN length(product_title) <= 2 THEN product_title ELSE '...' END AS title_tiny,
   CASE WHEN length(customer_id) <= 4 THEN customer_id
        ELSE repeat('*', length(customer_id) - 4) || right(customer_id, 4) END AS customer_masked,
-  repeat('*', length(customer_id)) || customer_id AS customer_masked0
+  repeat('*', length(customer_id)) AS customer_masked0
 FROM r
 """)
 def f7_f8_truncate_mask(spark, sf_dir):
     """F7 (suffix counts toward the limit; a limit shorter than the suffix gives
-    the bare suffix) and F8 (visible=4, and visible=0 -> stars + whole id)."""
+    the bare suffix) and F8 (visible=4, and visible=0: stars alone)."""
     r = review_records(spark, sf_dir)
     return r.select("review_id", X.truncate_text("review_body", 20).alias("body_short"),
                     X.truncate_text("product_title", 2, "...").alias("title_tiny"),

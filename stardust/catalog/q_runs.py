@@ -33,7 +33,7 @@ def q1_run(spark, sf_dir):
                     filters=[P.star_between(4, 5), P.verified(True)], lines=RV.review_lines(spark, sf_dir))
     cols = ("total_records", "valid_records", "invalid_records", "processed_records", "failed_records",
             "batches_processed")
-    return m.to_frame(spark).select(*[F.col(c).cast("bigint") for c in cols])
+    return m.select(*cols)
 
 
 @register("r6_r7_sql_handler", with_(R) + """

@@ -1,7 +1,7 @@
 """Command line: validate a feed (V13), run the review job (Q1), load the star
 from a folder of NDJSON files (Q2, stream with availableNow).
 
-    python -m stardust.cli validate PATH [--limit N] [--strict]
+    python -m stardust.cli [--master local[4]] validate PATH [--limit N] [--strict]
     python -m stardust.cli run SOURCE DESTINATION [--min-stars 4] [--verified]
     python -m stardust.cli load INPUT_GLOB ROOT
 """
@@ -21,17 +21,25 @@ def _validate(args) -> int:
     from .session import get_spark
     from .sources import ndjson as N
 
-    spark = get_spark()
-    parsed = N.read_ndjson(spark, args.path, N.PERMISSIVE)
-    # A limit needs an order to be repeatable: file, then line text.
-    if args.limit:
-        parsed = parsed.orderBy("source_file", "value").limit(args.limit)
-    ann = RV.clean_validate(parsed.where(~F.col("is_corrupt")).drop("is_corrupt"))
+    spark = get_spark(args.master)
+    lines = spark.read.text(args.path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                                              F.monotonically_increasing_id().alias("_at"))
+    if args.limit:  # the first records: by file, part of it, and place there
+        blank = F.coalesce(F.length(N.stripped(F.col("value"))) == 0, F.lit(True))
+        lines = lines.where(~blank).orderBy("_file", "_block", "_at").limit(args.limit)
+    parsed = N.parse_lines(lines.select("value", "_file"), N.PERMISSIVE, source=F.col("_file")).drop("_file")
+    corrupt = F.col("is_corrupt")
+    ann = RV.clean_validate(parsed)
+    of = ann.schema["errors"].dataType
+    broken = F.from_json(F.lit(json.dumps([{f.name: "JSON parse error" if f.name == "message" else "*" for f in of.elementType.fields}])), of)
+    ann = ann.withColumn("errors", F.when(corrupt, broken).otherwise(F.col("errors"))).drop("v").persist()
     totals = V.report_totals(ann).first().asDict()
+    totals["corrupt_count"] = ann.where(corrupt).count()
     print(json.dumps(totals))
-    for r in V.preview_invalid(ann, ["source_file", "review_id"], 20).select(
+    for r in V.preview_invalid(ann, ["source_file", "review_id", "value"], 20).select(
             "review_id", V.error_text().alias("errors")).collect():
         print(f"  {r['review_id']}: {r['errors']}")
+    ann.unpersist()
     return 1 if args.strict and totals["invalid_count"] else 0
 
 
@@ -40,12 +48,12 @@ def _run(args) -> int:
     from .plans.review_job import run_reviews
     from .session import get_spark
 
-    spark = get_spark()
+    spark = get_spark(args.master)
     filters = [P.star_between(args.min_stars, 5)]
     if args.verified:
         filters.append(P.verified(True))
     m = run_reviews(spark, args.source, args.destination, filters=filters, quarantine=args.quarantine)
-    print(json.dumps(m.stats()))
+    print(m.select(F.to_json(F.struct("*"))).first()[0])
     return 0
 
 
@@ -53,13 +61,14 @@ def _load(args) -> int:
     from .session import get_spark
     from .streaming.loader import StarStreamLoader
 
-    spark = get_spark()
+    spark = get_spark(args.master)
     StarStreamLoader(spark, args.input, root=args.root).run_available()
     return 0
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="stardust")
+    ap.add_argument("--master", help="Spark master when not started by spark-submit, such as local[4]")
     sub = ap.add_subparsers(dest="cmd", required=True)
     v = sub.add_parser("validate")
     v.add_argument("path")

@@ -1,6 +1,6 @@
 """Row predicates (P1-P11). Each builder returns a boolean Column that is never
 null (null counts as "drop"), so ``where`` and ``~`` behave like the
-reference's Python predicates. Large id sets are joins, not literal lists."""
+reference's Python predicates. Id sets that are data are joins, not literal lists."""
 
 from __future__ import annotations
 
@@ -15,10 +15,6 @@ from pyspark.sql import types as T
 
 from . import text as X
 
-# Literal IN-lists above this size become a semi/anti join against a frame.
-MAX_INLIST = 1000
-
-
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -51,11 +47,9 @@ def date_between(start: dt.date | str | None = None, end: dt.date | str | None =
 
 
 def in_set(values, col: str) -> Column:
-    """P4 / P6 / P7 with a literal set; a missing value compares as ''."""
-    values = sorted(set(values))
-    if len(values) > MAX_INLIST:
-        raise ValueError("large sets: use keep_in(df, ids_df, col) (a semi join)")
-    return _nn(F.coalesce(_c(col), F.lit("")).isin(values))
+    """P4 / P6 / P7 with a literal set of any size; a missing value compares as ''.
+    A set that is itself data (a frame) goes to ``keep_in`` / ``drop_in``."""
+    return _nn(F.coalesce(_c(col), F.lit("")).isin(sorted(set(values))))
 
 
 def category_in(categories, col: str = "product_category") -> Column:
@@ -104,16 +98,21 @@ def apply_filters(df: DataFrame, *preds: Column) -> DataFrame:
     return df if cond is None else df.where(cond)
 
 
-def keep_in(df: DataFrame, ids: DataFrame, col: str, id_col: str | None = None) -> DataFrame:
-    """P4/P6/P7 for large sets: left semi join (J6). Spark broadcasts the id
-    side only when its measured size is under the broadcast threshold."""
+def keep_in(df: DataFrame, ids, col: str, id_col: str | None = None) -> DataFrame:
+    """P4/P6/P7 with a set of values or a frame of them: the frame becomes a left
+    semi join (J6), whose id side Spark broadcasts only when its measured size is
+    under the broadcast threshold. Both give the same rows."""
+    if not isinstance(ids, DataFrame):
+        return df.where(in_set(ids, col))
     id_col = id_col or col
     right = ids.select(F.col(id_col).alias("__id")).distinct()
     return df.join(right, F.coalesce(df[col], F.lit("")) == right["__id"], "left_semi")
 
 
-def drop_in(df: DataFrame, ids: DataFrame, col: str, id_col: str | None = None) -> DataFrame:
-    """P8 for large sets: left anti join."""
+def drop_in(df: DataFrame, ids, col: str, id_col: str | None = None) -> DataFrame:
+    """P8 with a set of values or a frame of them (a left anti join)."""
+    if not isinstance(ids, DataFrame):
+        return df.where(~in_set(ids, col))
     id_col = id_col or col
     right = ids.select(F.col(id_col).alias("__id")).distinct()
     return df.join(right, F.coalesce(df[col], F.lit("")) == right["__id"], "left_anti")

@@ -91,10 +91,12 @@ def coerce_star_rating(col: str | Column, lo: int = S.STAR_MIN, hi: int = S.STAR
 
 def coerce_flag(col: str | Column) -> Column:
     """booleans and the words Y/YES/TRUE/1 or N/NO/FALSE/0 (any case,
-    surrounding whitespace ignored) -> 'Y' / 'N'; anything else null."""
+    surrounding whitespace ignored) -> 'Y' / 'N'; anything else null, numbers
+    included (1 is no flag, the text '1' is)."""
     c = _c(col)
+    worded = F.typeof(c).isin("string", "boolean")
     v = F.upper(F.regexp_replace(c.cast("string"), "(?U)^\\s+|\\s+$", ""))
-    return F.when(v.isin(*S.FLAG_YES), F.lit("Y")).when(v.isin(*S.FLAG_NO), F.lit("N"))
+    return F.when(worded & v.isin(*S.FLAG_YES), F.lit("Y")).when(worded & v.isin(*S.FLAG_NO), F.lit("N"))
 
 
 def coerce_flag_bool(col: str | Column) -> Column:
@@ -135,33 +137,25 @@ def stringify_frame(df: DataFrame) -> DataFrame:
 def truncate_text(col: str | Column, max_chars: int, suffix: str = "…") -> Column:
     """keep at most ``max_chars`` characters, suffix included."""
     c = _c(col)
-    cut = max(0, max_chars - len(suffix))
-    return F.when(F.length(c) <= max_chars, c).otherwise(F.concat(F.substring(c, 1, cut), F.lit(suffix)))
+    room = F.greatest(F.lit(max_chars) - F.length(F.lit(suffix)), F.lit(0))
+    return F.when(F.length(c) <= max_chars, c).otherwise(F.concat(F.left(c, room), F.lit(suffix)))
 
 
 def mask_id(col: str | Column, visible: int = 4) -> Column:
-    """F8: stars for all but the last ``visible`` characters. With visible=0
-    the whole id follows the stars (Python's ``x[-0:]`` is the whole string)."""
+    """F8: stars for all but the last ``visible`` characters; visible=0 masks the
+    whole id."""
     c = _c(col)
     n = F.length(c)
-    tail = c if visible == 0 else F.substring(c, -visible, visible)
-    return F.when(n <= visible, c).otherwise(F.concat(F.repeat(F.lit("*"), n - visible), tail))
-
-
-_IDENT_RE = re.compile(r"[^\w]", flags=re.ASCII)
-
-
-def sanitize_identifier(name: str) -> str:
-    """F10 helper: every non [A-Za-z0-9_] character becomes '_'."""
-    return _IDENT_RE.sub("_", name)
+    return F.when(n <= visible, c).otherwise(F.concat(F.repeat(F.lit("*"), n - visible), F.right(c, F.lit(visible))))
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
-    """F10 on a frame: rename all columns; two names that collide are an error."""
-    names = [sanitize_identifier(c) for c in df.columns]
-    if len(set(names)) != len(names):
-        raise ValueError(f"column names collide after sanitising: {names}")
-    return df.toDF(*names)
+    """F10 on a frame: every character of a name that is no ASCII letter, digit or
+    underscore becomes an underscore; two columns must not end up with one name."""
+    renamed = {c: re.sub("(?a)\\W", "_", c) for c in df.columns}
+    if len({n.lower() for n in renamed.values()}) < len(df.columns):
+        raise ValueError(f"two columns share a name once cleaned: {renamed}")
+    return df.withColumnsRenamed(renamed)
 
 
 def content_hash(cols: list[str] | None = None, df: DataFrame | None = None, v: str | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 A handler either is a column expression (JVM-side: returns an error text or
 null per row), or a Python function called on each record inside
-``mapInPandas`` (the escape hatch for user code: Arrow batches of
+``mapInArrow`` (the escape hatch for user code: Arrow batches of
 ``batch_size`` rows, never a driver loop). Both produce the same annotated
 frame: the input columns plus ``ok`` and ``error``; totals are one aggregate.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,29 +29,32 @@ def with_python_handler(df: DataFrame, handler: Callable[[dict], None], batch_si
     """R6 with a Python handler per record (X4). An exception marks the record
     failed with ``Record processing error: <exc>``; ``stop_on_error`` lets it
     fail the task (and so the job) instead."""
-    if batch_size <= 0:
-        raise ValueError(f"chunk size must be > 0, got {batch_size}")
+    if batch_size < 1:
+        raise ValueError(f"rows of a batch: {batch_size} is not a positive count")
     schema = T.StructType(df.schema.fields + [T.StructField("ok", T.BooleanType()),
                                               T.StructField("error", T.StringType())])
 
+    names = schema.fieldNames()
+
+    def attempt(rec: dict) -> str | None:
+        try:
+            handler(rec)
+        except Exception as exc:  # a user's handler may raise anything; its text is the row's error
+            if stop_on_error:
+                raise
+            return f"Record processing error: {exc}"
+        return None
+
     def run(batches):
-        for pdf in batches:
-            oks, errs = [], []
-            for rec in pdf.to_dict("records"):
-                try:
-                    handler(rec)
-                    oks.append(True)
-                    errs.append(None)
-                except Exception as exc:  # noqa: BLE001 - user handler
-                    if stop_on_error:
-                        raise
-                    oks.append(False)
-                    errs.append(f"Record processing error: {exc}")
-            yield pdf.assign(ok=oks, error=pd.Series(errs, dtype=object))
-
-    # Arrow batch size is the session's spark.sql.execution.arrow.maxRecordsPerBatch;
-    # ``batch_size`` only keeps the reference's argument check.
-    return df.mapInPandas(run, schema)
+        # Arrow to Python values: nulls stay None and integers stay integers.
+        for whole in batches:
+            for at in range(0, whole.num_rows, batch_size):
+                part = whole.slice(at, batch_size)
+                errs = [attempt(rec) for rec in part.to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array([e is None for e in errs], pa.bool_()), pa.array(errs, pa.string())], names=names)
+
+    return df.mapInArrow(run, schema)
 
 
 def result(annotated: DataFrame) -> DataFrame:

@@ -9,10 +9,10 @@ has run, so the metrics cost no extra pass over the data.
 
 from __future__ import annotations
 
-import time
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -22,7 +22,7 @@ from ..operators.fence import observed
 from ..sources import files as FS
 from ..sources import ndjson as N
 from . import reviews as RV
-from .audit import RunMetrics
+from .audit import run_row
 
 
 def _field_is(name: str):
@@ -31,11 +31,12 @@ def _field_is(name: str):
 
 def run_reviews(spark: SparkSession, source: str, destination: str, filters: list[Column] | None = None,
                 batch_size: int = S.DEFAULT_BATCH_SIZE, handler: Callable[[], Column] | None = None,
-                quarantine: str | None = None, lines=None) -> RunMetrics:
+                quarantine: str | None = None, lines=None, metrics: str | None = None) -> DataFrame:
     """Q1. ``lines`` may replace ``source`` with a frame of text lines (a feed
-    derived in Spark); ``quarantine`` also writes invalid records with errors."""
-    m = RunMetrics()
-    m.start_time = time.time()
+    derived in Spark); ``quarantine`` also writes invalid records with errors;
+    ``metrics`` names a table (a folder) that the run's row is appended to.
+    Returns the run's row (``audit.run_row``)."""
+    began = dt.datetime.now()
     parsed = N.parse_lines(lines) if lines is not None else N.read_ndjson(spark, source)
     ann = RV.clean_validate(parsed).drop("v", "source_file")
     # Counts per rule key ride on the same observation (the key set is bounded
@@ -56,13 +57,14 @@ def run_reviews(spark: SparkSession, source: str, destination: str, filters: lis
                                                 F.count_if(~F.col("ok")).alias("failed")])
     FS.write_ndjson(done.where("ok").drop("ok", "error"), destination)
     v, p = v_obs.get, p_obs.get
-    m.total_records, m.valid_records, m.invalid_records = int(v["total"]), int(v["valid"]), int(v["invalid"])
-    m.processed_records, m.failed_records = int(p["processed"]), int(p["failed"])
-    m.error_summary = {("Missing fields" if k[4:] == "*" else k[4:]): int(n)
-                       for k, n in v.items() if k.startswith("err:") and n}
-    # As the reference defines it: max(1, floor(kept / batch size)).
-    m.batches_processed = max(1, (m.processed_records + m.failed_records) // batch_size)
-    m.end_time = time.time()
+    counts = {"total_records": v["total"], "valid_records": v["valid"], "invalid_records": v["invalid"],
+              "processed_records": p["processed"], "failed_records": p["failed"]}
+    # Whole batches of what was kept, one at least.
+    counts["batches_processed"] = max(1, (p["processed"] + p["failed"]) // batch_size)
+    errors = {("Missing fields" if k[4:] == "*" else k[4:]): n for k, n in v.items() if k.startswith("err:") and n}
+    row = run_row(spark, began, dt.datetime.now(), counts, errors)
     if quarantine:
         ann.unpersist()
-    return m
+    if metrics:
+        FS.append(row, metrics)
+    return row

@@ -6,7 +6,7 @@ On a cluster the session already exists and carries the cluster's settings;
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -32,17 +32,24 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # One-row-group test files scan in one task; see ``sources.tables.spread``.
+    "spark.stardust.minScanPartitions": "8",
 }
 
 
 def get_spark(master: str | None = None, app: str = "stardust", extra: dict | None = None) -> SparkSession:
-    """Return the active session, or build a local one for tests and bench."""
+    """Return the active session, or build one. The library names no master: on a
+    cluster ``spark-submit`` does; tests and the bench pass a local one, which
+    also brings the settings for local runs."""
     active = SparkSession.getActiveSession()
     if active is not None:
         apply_required_conf(active)
         return active
-    builder = SparkSession.builder.appName(app).master(master or os.environ.get("STARDUST_MASTER", "local[8]"))
-    for k, v in {**LOCAL_CONF, **REQUIRED_CONF, **(extra or {})}.items():
+    builder = SparkSession.builder.appName(app)
+    local = master is not None and master.startswith("local")
+    if master is not None:
+        builder = builder.master(master)
+    for k, v in {**(LOCAL_CONF if local else {}), **REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,12 +66,15 @@ def apply_required_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (what the cluster names). Only when it is
-    unset (local tests) is a fresh local folder made and registered.
+    Read from ``spark.checkpoint.dir`` (what the cluster names). Only under a
+    local master (tests), where one machine holds all, may it be unset: then a
+    fresh folder is made and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not d and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not d:
-        d = tempfile.mkdtemp(prefix="stardust-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        d = tempfile.mkdtemp(prefix="stardust-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

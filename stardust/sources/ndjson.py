@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import jsonpath as J
 from ..operators.fence import fence
 
+# Fixed value: what Python's str.strip() removes.
+BLANKS = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
 STRICT = "strict"
 PERMISSIVE = "permissive"
 
@@ -23,6 +26,11 @@ def to_lines(df: DataFrame, cols: list[str] | None = None, keep: list[str] | Non
     return df.select(*(keep or []), F.to_json(F.struct(*cols)).alias("value"))
 
 
+def stripped(text: Column) -> Column:
+    """The line without the blanks around it (any Unicode blank)."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def parse_lines(lines: DataFrame, mode: str = STRICT, value: str = "value",
                 source: Column | None = None) -> DataFrame:
     """Blank lines are skipped; each other line parses to ``v``.
@@ -34,13 +42,14 @@ def parse_lines(lines: DataFrame, mode: str = STRICT, value: str = "value",
         raise ValueError(f"mode must be {STRICT!r} or {PERMISSIVE!r}, got {mode!r}")
     src = source if source is not None else F.lit(None).cast("string")
     text = F.col(value)
-    blank = F.coalesce(F.length(F.trim(text)) == 0, F.lit(True))
-    parsed = F.try_parse_json(F.trim(text))
+    blank = F.coalesce(F.length(stripped(text)) == 0, F.lit(True))
+    parsed = F.try_parse_json(stripped(text))
     out = lines.where(~blank).withColumn("source_file", src).withColumn("v", parsed)
     if mode == STRICT:
         err = F.raise_error(F.concat(F.lit("JSON parse error at "), F.coalesce(F.col("source_file"), F.lit("<input>")),
                                      F.lit(": "), F.col(value)))
-        out = out.withColumn("v", F.when(F.col("v").isNull(), err.cast("variant")).otherwise(F.col("v")))
+        # A filter, which no projection above (a count, say) can prune away.
+        out = out.where(F.when(F.col("v").isNull(), err.cast("boolean")).otherwise(F.lit(True)))
     else:
         out = out.withColumn("is_corrupt", F.col("v").isNull())
     # Fenced: every later path lookup reads the parsed value instead of
@@ -57,9 +66,9 @@ def read_ndjson(spark: SparkSession, path: str | list[str], mode: str = STRICT)
 def line_status(lines: DataFrame, value: str = "value") -> DataFrame:
     """Per-line status of a text feed: blank, corrupt or ok (for load reports)."""
     text = F.col(value)
-    blank = F.coalesce(F.length(F.trim(text)) == 0, F.lit(True))
+    blank = F.coalesce(F.length(stripped(text)) == 0, F.lit(True))
     return lines.select("*", F.when(blank, "blank")
-                        .when(F.try_parse_json(F.trim(text)).isNull(), "corrupt")
+                        .when(F.try_parse_json(stripped(text)).isNull(), "corrupt")
                         .otherwise("ok").alias("status"))
 
 

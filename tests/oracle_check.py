@@ -137,7 +137,7 @@ def main(argv=None):
     a = ap.parse_args(argv)
     from stardust.session import get_spark
     import __spark_entry__ as E
-    spark = get_spark()
+    spark = get_spark(master="local[8]")
     con = duck(a.sf)
     qs, sqls = E.queries(), E.oracle_sql()
     names = a.names or list(qs)

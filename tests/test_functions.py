@@ -49,6 +49,11 @@ def test_coerce_flag(spark, value, expected):
     assert one(spark, X.coerce_flag, value) == expected
 
 
+def test_coerce_flag_on_numbers_is_null(spark):
+    assert one(spark, X.coerce_flag, 1, "int") is None
+    assert one(spark, X.coerce_flag, True, "boolean") == "Y"
+
+
 def test_coerce_flag_bool(spark):
     assert one(spark, X.coerce_flag_bool, True, "boolean") == "Y"
     assert one(spark, X.coerce_flag_bool, False, "boolean") == "N"
@@ -77,7 +82,7 @@ def test_truncate(spark):
 def test_mask(spark):
     assert one(spark, lambda c: X.mask_id(c, 4), "C12345678") == "*****5678"
     assert one(spark, lambda c: X.mask_id(c, 4), "C12") == "C12"
-    assert one(spark, lambda c: X.mask_id(c, 0), "C12") == "***C12"
+    assert one(spark, lambda c: X.mask_id(c, 0), "C12") == "***"
 
 
 def test_stringify(spark):

@@ -101,11 +101,15 @@ def test_review_run_metrics(spark, tmpdir_fresh):
     with open(f"{src}/a.jsonl", "w") as fh:
         fh.write("\n".join(_json.dumps(r) for r in recs) + "\n")
     m = run_reviews(spark, src, f"{tmpdir_fresh}/out", filters=[P.star_between(4, 5)], batch_size=3)
-    assert (m.total_records, m.valid_records, m.invalid_records) == (12, 10, 2)
-    assert (m.processed_records, m.failed_records, m.batches_processed) == (4, 0, 1)
-    assert m.error_summary == {"Missing fields": 1, "star_rating": 1}
+    r = m.first()
+    assert (r.total_records, r.valid_records, r.invalid_records) == (12, 10, 2)
+    assert (r.processed_records, r.failed_records, r.batches_processed) == (4, 0, 1)
+    assert r.errors_by_field == {"Missing fields": 1, "star_rating": 1}
     assert spark.read.json(f"{tmpdir_fresh}/out").count() == 4
-    assert set(m.stats()) >= {"run_id", "duration_s", "throughput_rps", "total_records"}
+    assert len(r.run) == 12 and r.seconds > 0 and r.records_per_second > 0
+    for _ in range(2):
+        run_reviews(spark, src, f"{tmpdir_fresh}/out{_}", metrics=f"{tmpdir_fresh}/metrics")
+    assert spark.read.parquet(f"{tmpdir_fresh}/metrics").count() == 2
 
 
 def test_extra_rule(spark):
