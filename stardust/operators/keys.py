@@ -2,8 +2,8 @@
 
 A ``row_number()`` over an unpartitioned window moves every row into one task.
 Instead: range-partition by the order (a distributed sort), count rows per
-partition (one small aggregate: one row per partition reaches the driver),
-prefix-sum those counts, and add each partition's offset to the row's index
+partition, prefix-sum those counts (a frame of one row per partition, joined
+back by its id), and add each partition's offset to the row's index
 inside its partition. The sorted frame (with partition id and position stored
 as columns) is written to the shared folder first, so both passes see the
 same rows even if an executor is lost.
@@ -11,7 +11,7 @@ same rows even if an executor is lost.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -31,19 +31,13 @@ def dense_index(df: DataFrame, order: list[Column], out: str = "seq", start: int
     # Cut lineage: both passes below read the same materialised rows, with each
     # row's partition id and position stored (so re-reads cannot reorder them).
     sorted_df = materialize(sorted_df, "dense-index")
-    counts = {r["__pid"]: r["n"] for r in
-              sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, acc = {}, start
-    for pid in sorted(counts):
-        offsets[pid] = acc
-        acc += counts[pid]
-    if not offsets:
-        return sorted_df.drop("__pid", "__mid").withColumn(out, F.lit(None).cast("bigint"))
+    # One row per partition: its rows, and by a running sum where its positions begin.
+    counts = sorted_df.groupBy("__pid").agg(F.count(F.lit(1)).alias("n"))
+    ahead = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", (F.coalesce(F.sum("n").over(ahead), F.lit(0)) + start).alias("__off"))
     # Row index inside a partition = mid - (pid << 33) (how the id is built).
-    off = F.element_at(F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(o))]),
-                       F.col("__pid"))
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    return sorted_df.withColumn(out, (off + local).cast("bigint")).drop("__pid", "__mid")
+    return sorted_df.join(offsets, "__pid").withColumn(out, (F.col("__off") + local).cast("bigint")).drop("__pid", "__mid", "__off")
 
 
 def assign_keys(new_rows: DataFrame, order: list[Column], key_col: str, max_existing: int | None) -> DataFrame:

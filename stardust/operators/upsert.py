@@ -9,7 +9,8 @@ the table without shuffling it; a full outer join could not broadcast either
 side. A source row always wins for the listed update columns, even when its
 value is null (a marker column says "matched", not the value). New rows get
 surrogate keys from ``keys.assign_keys`` (no global window) and the insert
-defaults (M7).
+defaults (M7). "Inserts" are found by the keys that both have (a semi join of the
+table with the batch), then the batch without those.
 """
 
 from __future__ import annotations
@@ -55,8 +56,10 @@ def upsert(target: DataFrame, source: DataFrame, on: list[str], update: list[str
         kept.append(F.when(hit, new_v).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c))
     existing = j.select(*kept)
 
-    # WHEN NOT MATCHED: batch rows whose key the target lacks.
-    new = s.join(target.select(*on), on, "left_anti")
+    # WHEN NOT MATCHED: batch rows whose key the target lacks. The target's keys are
+    # cut down to the batch's first, by a semi join in which the batch is the small
+    # side; what is left is no larger than the batch, and the target stays in place.
+    new = s.join(target.select(*on).join(s.select(*on), on, "left_semi"), on, "left_anti")
 
     def insert_value(c: str) -> Column:
         if c in on_insert:

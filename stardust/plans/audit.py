@@ -67,11 +67,13 @@ def archive_and_purge(landing: DataFrame, archive_path: str, kept_path: str, now
                       days: int = 7, ts: str = "loaded_timestamp") -> dict:
     """R1 as a job: archive written first, kept snapshot second (a crash in
     between leaves both copies, never a loss); returns the log row."""
-    from ..sources.files import append
     now_c = F.lit(now).cast(TS)
     archive, kept = archive_split(landing, now_c, days, ts)
-    n = append(archive, archive_path)
-    append(kept, kept_path)
+    # Both folders are named by the cutoff and overwritten: a retry writes them again.
+    cutoff = (now - dt.timedelta(days=days)).strftime("%Y%m%dT%H%M%S%f")
+    archive.write.mode("overwrite").parquet(f"{archive_path}/cutoff={cutoff}")
+    kept.write.mode("overwrite").parquet(f"{kept_path}/cutoff={cutoff}")
+    n = archive.sparkSession.read.schema(archive.schema).parquet(f"{archive_path}/cutoff={cutoff}").count()
     return {"batch_timestamp": now, "data_source": "ARCHIVAL", "record_count": n, "status": SUCCESS,
             "message": f"Archived {n} records successfully"}
 

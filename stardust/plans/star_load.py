@@ -125,8 +125,9 @@ def _keys(st: DataFrame, customers: DataFrame, products: DataFrame, how: str) ->
 
 
 def reviews_source(st: DataFrame, customers: DataFrame, products: DataFrame, order: list[str]) -> DataFrame:
-    """Left lookups (unmatched keys stay null: see ``unmatched_reviews``), latest per review_id."""
-    return _latest(_keys(st, customers, products, "left"), "review_id", order).select(
+    """Latest per review_id (T19) of the reviews whose customer and product are known;
+    the others go to ``unmatched_reviews`` (T2: the fact's keys are never null)."""
+    return _latest(_keys(st, customers, products, "inner"), "review_id", order).select(
         "review_id", "order_id", "customer_key", "product_key", "review_date", "star_rating",
         "review_body", "helpful_votes", "verified_purchase")
 
@@ -159,25 +160,30 @@ def load_orders(orders: DataFrame, st: DataFrame, customers: DataFrame, products
 
 
 def unmatched_reviews(st: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Staged reviews whose customer or product has no dimension row
-    (the quarantine side of the left lookups)."""
-    c = customers.select("customer_id")
-    p = products.select("product_id")
+    """Staged reviews whose customer or product has no dimension row (a
+    null id has none), with what is missing."""
     r = st.where(F.col("review_id").isNotNull())
-    return r.join(c, "customer_id", "left_anti").unionByName(r.join(p, "product_id", "left_anti")).distinct()
+    c = r.join(customers.select("customer_id"), "customer_id", "left_anti").withColumn("missing", F.lit("customer"))
+    p = r.join(products.select("product_id"), "product_id", "left_anti").withColumn("missing", F.lit("product"))
+    return c.unionByName(p)
 
 
 def load_batch(star: Star, stg: DataFrame, now: Column, order: list[str] | None = None,
-               mydata: str = "mydata", cut: bool = True) -> Star:
+               mydata: str = "mydata", cut: bool = True, quarantine: str | None = None) -> Star:
     """Q2 for one batch (C10 order: dimensions, then facts). The typed staging
-    is read by all four loads, so it is written once to the shared folder
-    (``cut``) instead of being parsed four times."""
+    is read by all four loads and both dimensions by the facts, so they are written
+    once to the shared folder (``cut``). Reviews without a customer or product go
+    to the folder ``quarantine`` (T2)."""
     order = order or ["loaded_timestamp"]
     st = typed_staging(stg, order, mydata)
     if cut:
         st = materialize(st, "staging")
     customers = load_customers(star.customers, st, order, now)
     products = load_products(star.products, st, order, now)
+    if cut:
+        customers, products = materialize(customers, "customers"), materialize(products, "products")
+    if quarantine:
+        unmatched_reviews(st, customers, products).write.parquet(quarantine)
     reviews = load_reviews(star.reviews, st, customers, products, order, now)
     orders = load_orders(star.orders, st, customers, products, order, now)
     return replace(star, customers=customers, products=products, reviews=reviews, orders=orders)

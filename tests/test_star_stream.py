@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stardust.plans import star_load as SL
-from stardust.plans.snapshots import SnapshotStore
+from stardust.plans.deltas import DeltaStore
 from stardust.streaming.loader import KEYS, StarStreamLoader
 from conftest import valid_review
 
@@ -32,7 +32,7 @@ def drop(path, name, records, extra_lines=()):
 
 def loader(spark, base):
     clock = lambda b: dt.datetime(2026, 1, 1 + b)
-    return StarStreamLoader(spark, f"{base}/in/*/*.json", root=f"{base}/star", buckets=4, clock=clock,
+    return StarStreamLoader(spark, f"{base}/in/*/*.json", root=f"{base}/star", clock=clock,
                             order_fields={"loaded_timestamp": "timestamp_ntz"})
 
 
@@ -67,20 +67,38 @@ def test_stream_two_drops_restart_and_empty_trigger(spark, tmpdir_fresh):
     assert ld2.table("consumption_log").agg(F.sum("records_consumed")).first()[0] == 5
 
 
-def test_snapshot_replay_is_skipped(spark, tmpdir_fresh):
-    store = SnapshotStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, buckets=4)
-    src = spark.createDataFrame([("C1", "a@", "A", "x"), ("C2", "b@", "B", "y")],
-                                "customer_id string, email string, name string, address string")
-    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")
-    merge = lambda cur, top: SL.merge_customers(cur, src, now, top)
-    assert store.upsert("customers", src, merge, batch_id=0, key_col="customer_key") is True
-    assert store.upsert("customers", src, merge, batch_id=0, key_col="customer_key") is False
-    rows = store.read("customers").collect()
-    assert sorted((r["customer_id"], r["customer_key"]) for r in rows) == [("C1", 1), ("C2", 2)]
-    src2 = spark.createDataFrame([("C3", "c@", "C", "z")], "customer_id string, email string, name string, address string")
-    store.upsert("customers", src2, lambda cur, top: SL.merge_customers(cur, src2, now, top), 1, "customer_key")
-    keys = sorted(r["customer_key"] for r in store.read("customers").collect())
-    assert keys == [1, 2, 3]                          # high-water mark across buckets
+SCHEMA = "customer_id string, email string, name string, address string"
+
+
+def put(store, rows, load, day=1):
+    src = store.spark.createDataFrame(rows, SCHEMA)
+    now = F.lit(dt.datetime(2026, 1, day)).cast("timestamp_ntz")
+    return store.upsert("customers", src, lambda cur, top: SL.merge_customers(cur, src, now, top), load, "customer_key")
+
+
+def test_a_load_writes_only_its_keys_and_replays(spark, tmpdir_fresh):
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS)
+    assert put(store, [("C1", "a@", "A", "x"), ("C2", "b@", "B", "y")], 0)
+    put(store, [("C3", "c@", "C", "z")], 1)
+    put(store, [("C1", "new@", "A", "x")], 2, 2)
+    for _ in range(2):                                # replays of a load in the middle
+        put(store, [("C3", "c@", "C", "z")], 1)
+    rows = {r.customer_id: r for r in DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS).read("customers").collect()}
+    assert {k: v.customer_key for k, v in rows.items()} == {"C1": 1, "C2": 2, "C3": 3}
+    assert rows["C1"].email == "new@" and rows["C1"].created_at == dt.datetime(2026, 1, 1) and rows["C1"].updated_at == dt.datetime(2026, 1, 2)
+    assert store.changes("customers").where("load = 2").count() == 1
+    assert store.load_id("x", 5) == 5 and store.load_id("y", 0) == 1 << 40 and store.load_id("x", 6) == 6
+
+
+def test_fold_keeps_the_rows_and_skips_folded_loads(spark, tmpdir_fresh):
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS)
+    for b in range(4):
+        put(store, [(f"C{b + 1}", "e", "n", "a"), ("C0", f"e{b}", "n", "a")], b)
+    before = sorted(tuple(r) for r in store.read("customers").collect())
+    assert store.fold() == 1 and store.epoch() == (1, 3)
+    assert sorted(tuple(r) for r in store.read("customers").collect()) == before
+    assert not put(store, [("C9", "e", "n", "a")], 3) and put(store, [("C9", "e", "n", "a")], 4)
+    assert store.max_key("customers", "customer_key") == 6
 
 
 def test_failed_batch_is_logged_and_raised(spark, tmpdir_fresh):
@@ -90,13 +108,37 @@ def test_failed_batch_is_logged_and_raised(spark, tmpdir_fresh):
     ld.clock = lambda b: (_ for _ in ()).throw(RuntimeError("clock down"))
     with pytest.raises(Exception):
         ld.run_available()
+    log = ld.table("batch_log").where(F.col("status") == "FAILED").collect()
+    assert len(log) == 1 and "clock down" in log[0].error_message
+
+
+def test_forced_reload_applies_again(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    drop(f"{base}/in", "d1", [rec("R1", "C1", "P1", "2024-01-01T00:00:00")])
+    loader(spark, base).run_available()
+    drop(f"{base}/in", "d2", [rec("R2", "C2", "P1", "2024-01-02T00:00:00", quantity=5)])
+    again = loader(spark, base)
+    again.checkpoint = f"{base}/star/_checkpoint2"    # S11 FORCE: a fresh checkpoint reads both files again
+    again.run_available()
+    assert sorted((r.customer_id, r.customer_key) for r in again.table("customers").collect()) == [("C1", 1), ("C2", 2)]
+    assert sorted(r.review_id for r in again.table("reviews").collect()) == ["R1", "R2"]
+
+
+def test_reviews_without_a_customer_are_quarantined(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    drop(f"{base}/in", "d1", [rec("R1", "C1", "P1", "2024-01-01T00:00:00"), rec("R2", None, "P1", "2024-01-01T00:00:00")])
+    ld = loader(spark, base)
+    ld.run_available()
+    assert [r.review_id for r in ld.table("reviews").collect()] == ["R1"]
+    assert [(r.review_id, r.missing) for r in ld.table("quarantine_reviews").collect()] == [("R2", "customer")]
+    assert [r.mydata for r in ld.table("json_data").where("mydata like '%R1%'").collect()] == [json.dumps(rec("R1", "C1", "P1", "2024-01-01T00:00:00"))]
 
 
 def test_retention_and_skip_existing(spark, tmpdir_fresh):
     base = tmpdir_fresh
     drop(f"{base}/in", "d0", [rec("R9", "C9", "P9", "2024-01-01T00:00:00")])
     days = {1: dt.datetime(2026, 1, 1), 2: dt.datetime(2026, 1, 20)}  # batch 0 = skipped files
-    ld = StarStreamLoader(spark, f"{base}/in/*/*.json", root=f"{base}/star", buckets=4,
+    ld = StarStreamLoader(spark, f"{base}/in/*/*.json", root=f"{base}/star",
                           clock=lambda b: days[b], retention_days=7)
     ld.skip_existing()                                # C3: d0 is never loaded
     drop(f"{base}/in", "d1", [rec("R1", "C1", "P1", "2024-01-01T00:00:00")])
@@ -134,19 +176,3 @@ def test_replay_after_mid_batch_failure(spark, tmpdir_fresh, monkeypatch):
     log = ld.table("batch_log")
     assert log.where(F.col("status") == "FAILED").count() == 1
     assert log.where(F.col("status") == "SUCCESS").count() == 1
-
-
-def test_commit_log_compaction(spark, tmpdir_fresh):
-    store = SnapshotStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, buckets=4)
-    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")
-    schema = "customer_id string, email string, name string, address string"
-    for b in range(4):
-        src = spark.createDataFrame([(f"C{b + 1}", "e", "n", "a"), ("C0", f"e{b}", "n", "a")], schema)
-        store.upsert("customers", src, lambda cur, top, src=src: SL.merge_customers(cur, src, now, top), b,
-                     "customer_key")
-    before = sorted(tuple(r) for r in store.read("customers").collect())
-    assert store.compact(keep_batches=2) == 1
-    store2 = SnapshotStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, buckets=4)
-    assert sorted(tuple(r) for r in store2.read("customers").collect()) == before
-    assert store2.applied("customers", 3) and not store2.applied("customers", 0)
-    assert store2.max_key("customers") == 5
