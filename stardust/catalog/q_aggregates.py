@@ -53,10 +53,19 @@ def a3_top(spark, sf_dir):
 SELECT COALESCE(CAST(address AS VARCHAR), '') AS key, count(*) AS n FROM r GROUP BY 1
 """)
 def a5_count_by(spark, sf_dir):
-    """A4 group sizes / A5 count by a field as text (null and missing -> '')."""
+    """A5 count by a field as text (null and missing -> '')."""
     return A.count_by(review_records(spark, sf_dir), "address")
 
 
+@register("a4_group_sizes", with_(R) + """
+SELECT COALESCE(CAST(NULLIF(star_rating, 0) AS VARCHAR), '') AS group_key, count(*) AS n FROM r GROUP BY 1
+""")
+def a4_group_sizes(spark, sf_dir):
+    """A4: rows per text group key, one group of null ratings."""
+    r = review_records(spark, sf_dir).withColumn("star_rating", F.when(F.col("star_rating") != 0, F.col("star_rating")))
+    return A.group_sizes(r, "star_rating")
+
+
 @register("a6_rating_histogram", with_(R) + """
 SELECT s.star_rating, COALESCE(c.n, 0) AS n
 FROM (SELECT CAST(range AS INT) AS star_rating FROM range(1, 6)) s
@@ -88,11 +97,13 @@ def a8_a9(spark, sf_dir):
 
 
 @register("a12_a13_next_id_count", with_(R) + """
-SELECT COALESCE(max(order_id), 0) + 1 AS next_id, count(*) AS n FROM r
+SELECT 'next_id' AS what, CAST(COALESCE(max(order_id), 0) + 1 AS BIGINT) AS value FROM r
+UNION ALL SELECT 'n', CAST(count(*) AS BIGINT) FROM r
 """)
 def a12_a13(spark, sf_dir):
     r = review_records(spark, sf_dir)
-    return r.agg((F.coalesce(F.max("order_id"), F.lit(0)) + 1).alias("next_id"), F.count(F.lit(1)).alias("n"))
+    as_rows = lambda df, what: df.select(F.lit(what).alias("what"), F.col(df.columns[0]).cast("bigint").alias("value"))
+    return as_rows(A.next_id(r, "order_id"), "next_id").unionByName(as_rows(A.row_count(r), "n"))
 
 
 @register("o1_o2_top_k", with_(R) + f"""

@@ -232,14 +232,13 @@ JOIN product_id_dim p ON o.product_key = p.product_key
 LEFT JOIN review_id_fact r ON o.order_id = r.order_id
 """)
 def q4_history(spark, sf_dir):
-    """Q4: orders x customers x products, left join reviews (J4); presented
-    ``ORDER BY name, order_date DESC`` (the sort is left to the consumer)."""
+    """Q4: orders x customers x products, left join reviews (J4), by name, newest first."""
     s = star(spark, sf_dir)
     o, c, p, r = s.orders, s.customers, s.products, s.reviews
     j = (o.join(c.select("customer_key", "name"), "customer_key")
           .join(p.select("product_key", F.col("name").alias("product_name")), "product_key")
           .join(r.select("order_id", "star_rating", "review_body"), "order_id", "left"))
-    return j.select("name", "product_name", "order_date", "star_rating", "review_body")
+    return j.select("name", "product_name", "order_date", "star_rating", "review_body").orderBy("name", F.desc("order_date"))
 
 
 @register("q5_recent_review_stats", STAR_CTES + """
@@ -257,7 +256,7 @@ def q5_recent(spark, sf_dir):
     return (rv.join(s.products, "product_key").groupBy("product_key", s.products["name"], "category")
               .agg(F.count("review_id").alias("review_count"), F.round(F.avg("star_rating"), 6).alias("avg_rating"),
                    A.count_if_above("helpful_votes", 10, "helpful_reviews"))
-              .drop("product_key"))
+              .orderBy(F.desc("review_count"), "product_key").drop("product_key"))
 
 
 @register("q9_table_counts", STAR_CTES + """

@@ -19,22 +19,11 @@ def _validate(args) -> int:
     from .operators import validate as V
     from .plans import reviews as RV
     from .session import get_spark
-    from .sources import ndjson as N
 
     spark = get_spark(args.master)
-    lines = spark.read.text(args.path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-                                              F.monotonically_increasing_id().alias("_at"))
-    if args.limit:  # the first records: by file, part of it, and place there
-        blank = F.coalesce(F.length(N.stripped(F.col("value"))) == 0, F.lit(True))
-        lines = lines.where(~blank).orderBy("_file", "_block", "_at").limit(args.limit)
-    parsed = N.parse_lines(lines.select("value", "_file"), N.PERMISSIVE, source=F.col("_file")).drop("_file")
-    corrupt = F.col("is_corrupt")
-    ann = RV.clean_validate(parsed)
-    of = ann.schema["errors"].dataType
-    broken = F.from_json(F.lit(json.dumps([{f.name: "JSON parse error" if f.name == "message" else "*" for f in of.elementType.fields}])), of)
-    ann = ann.withColumn("errors", F.when(corrupt, broken).otherwise(F.col("errors"))).drop("v").persist()
+    ann = RV.validated_file(spark, args.path, args.limit).persist()
     totals = V.report_totals(ann).first().asDict()
-    totals["corrupt_count"] = ann.where(corrupt).count()
+    totals["corrupt_count"] = ann.where("is_corrupt").count()
     print(json.dumps(totals))
     for r in V.preview_invalid(ann, ["source_file", "review_id", "value"], 20).select(
             "review_id", V.error_text().alias("errors")).collect():

@@ -82,7 +82,7 @@ def consumption_totals(log: DataFrame) -> DataFrame:
     """Q7 / A10: per stream total consumed, events, last run (sorted by last run)."""
     return log.groupBy("stream_name").agg(
         F.sum("records_consumed").alias("total_consumed"), F.count(F.lit(1)).alias("consumption_events"),
-        F.max("last_consumed_timestamp").alias("last_run"))
+        F.max("last_consumed_timestamp").alias("last_run")).orderBy(F.desc("last_run"))
 
 
 def failures_per_day(events: DataFrame, now: Column, hours: int | None = None) -> DataFrame:

@@ -3,6 +3,8 @@ typed + cleaned + validated records (S1 -> E3 -> F2 -> V6)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +57,19 @@ def validated_reviews(spark: SparkSession, sf_dir: str, normalise: bool = True)
 
 def valid_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validated_reviews(spark, sf_dir).where(F.size("errors") == 0).drop("errors")
+
+
+def validated_file(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
+    """The annotated records of NDJSON files, a line that does not parse as an
+    invalid record (``is_corrupt``). ``limit``: the first records only, by file,
+    split of it and place there."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                                         F.monotonically_increasing_id().alias("_at"))
+    if limit:
+        blank = F.coalesce(F.length(N.stripped(F.col("value"))) == 0, F.lit(True))
+        lines = lines.where(~blank).orderBy("_file", "_block", "_at").limit(limit)
+    ann = clean_validate(N.parse_lines(lines.select("value", "_file"), N.PERMISSIVE, source=F.col("_file")).drop("_file"))
+    of = ann.schema["errors"].dataType
+    what = {f.name: "JSON parse error" if f.name == "message" else "*" for f in of.elementType.fields}
+    broken = F.from_json(F.lit(json.dumps([what])), of)
+    return ann.withColumn("errors", F.when(F.col("is_corrupt"), broken).otherwise(F.col("errors"))).drop("v")
