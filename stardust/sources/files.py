@@ -31,11 +31,12 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists", keep_nul
     return int(obs.get.get("rows", 0))
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """CSV with a header, every column text (no inference), quoted fields
-    may span lines; empty cells read as '' (the reference's DictReader gives '')."""
+def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> DataFrame:
+    """CSV with a header, every column text (no inference); empty cells read as
+    ''. Quoted fields may span lines, so a file is one task; ``multi_line=False``
+    splits large files whose fields don't."""
     df = (spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
-          .option("multiLine", True).option("inferSchema", False)
+          .option("multiLine", multi_line).option("inferSchema", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
 
@@ -57,18 +58,6 @@ def write_csv(df: DataFrame, path: str, fieldnames=None, mode: str = "errorifexi
     return int(obs.get.get("rows", 0))
 
 
-def to_json_array(df: DataFrame, indent: bool = True) -> DataFrame:
-    """The whole (bounded) result as one JSON array text. Only for results of
-    a known small size (reports); large results go through ``write_ndjson``."""
-    text = F.to_json(F.collect_list(F.struct(*df.columns)), {"pretty": "true"} if indent else {})
-    return df.agg(F.coalesce(text, F.lit("[]")).alias("json"))
-
-
-def write_text_file(df: DataFrame, path: str, col: str = "json") -> None:
-    """Write a one-row text result (summary JSON) as a single file part."""
-    df.select(F.col(col).alias("value")).coalesce(1).write.mode("errorifexists").text(path)
-
-
 def conform(df: DataFrame, columns: list[str], defaults: dict[str, Column] | None = None) -> DataFrame:
     """Project onto a target column list; missing columns take their
     default (or null)."""
@@ -101,22 +90,17 @@ def empty_like(df: DataFrame) -> DataFrame:
 
 
 def export_summary(df: DataFrame, path: str, rating: str = "star_rating", category: str = "product_category") -> int:
-    """The review summary as one pretty JSON object (averages rounded to 4):
-    total, avg_star_rating, star_distribution, category_counts, verified and
-    unverified counts, verified_rate. Both maps are built from aggregates; the
-    category map is bounded by the number of categories, which a summary report
-    is meant to list in full. Returns the number of records summarised."""
+    """The review summary (averages rounded to 4) in a folder: ``totals``, one JSON
+    object with total, avg_star_rating, star_distribution (the ratings of the
+    domain), verified and unverified counts and verified_rate; ``categories``, a
+    JSON line per category with its count, as many as there are. Returns the number
+    of records summarised, observed on the first write."""
     from ..operators import aggregate as A
     summ = A.summary_maps(df, rating)
-    cats = A.category_counts(df, category).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(category), F.col("n")))).alias("category_counts"))
-    row = summ.select(
-        "total", F.round("avg_star_rating", 4).alias("avg_star_rating"), "star_distribution",
-        "verified_count", "unverified_count", F.round("verified_rate", 4).alias("verified_rate"))
-    # Both sides are single rows from global aggregates: a key-less equi join on a constant.
-    out = row.withColumn("__k", F.lit(1)).join(cats.withColumn("__k", F.lit(1)), "__k").drop("__k")
-    text = out.select(F.to_json(F.struct("total", "avg_star_rating", "star_distribution", "category_counts",
-                                         "verified_count", "unverified_count", "verified_rate"),
-                                {"pretty": "true"}).alias("json"))
-    text.coalesce(1).write.mode("errorifexists").text(path)
-    return int(out.select("total").first()[0])
+    known = F.map_filter("star_distribution", lambda k, n: k.between(S.STAR_MIN, S.STAR_MAX))
+    row = summ.select("total", F.round("avg_star_rating", 4).alias("avg_star_rating"), known.alias("star_distribution"),
+                      "verified_count", "unverified_count", F.round("verified_rate", 4).alias("verified_rate"))
+    obs = Observation("summary")
+    row.observe(obs, F.max("total").alias("total")).write.mode("errorifexists").json(f"{path}/totals")
+    A.category_counts(df, category).write.mode("errorifexists").json(f"{path}/categories")
+    return int(obs.get["total"])

@@ -86,12 +86,6 @@ def test_csv_empty_input(spark, tmpdir_fresh):
     assert FS.write_csv(df, f"{tmpdir_fresh}/csv") == 0
 
 
-def test_json_array_export(spark):
-    df = spark.createDataFrame([("R1", 5)], "review_id string, star_rating int")
-    text = FS.to_json_array(df).first()["json"]
-    assert json.loads(text) == [{"review_id": "R1", "star_rating": 5}]
-
-
 def test_flatten_bare_object_and_array(spark):
     df = lines_frame(spark, ['{"a": 1}', '[{"a": 2}, {"a": 3}]'])
     parsed = N.parse_lines(df)
@@ -111,10 +105,11 @@ def test_export_summary(spark, tmpdir_fresh):
     df = spark.createDataFrame([valid_review(star_rating=5), valid_review(star_rating=4, verified_purchase="N",
                                                                           product_category="Audio")])
     assert FS.export_summary(df, f"{tmpdir_fresh}/summary") == 2
-    text = "".join(open(f).read() for f in glob.glob(f"{tmpdir_fresh}/summary/part-*"))
-    data = json.loads(text)
+    read = lambda part: [json.loads(x) for f in glob.glob(f"{tmpdir_fresh}/summary/{part}/part-*") for x in open(f)]
+    (data,) = read("totals")
     assert data["total"] == 2 and data["avg_star_rating"] == 4.5 and data["verified_rate"] == 0.5
-    assert data["star_distribution"] == {"5": 1, "4": 1} and data["category_counts"] == {"Electronics": 1, "Audio": 1}
+    assert data["star_distribution"] == {"5": 1, "4": 1}
+    assert {r["product_category"]: r["n"] for r in read("categories")} == {"Electronics": 1, "Audio": 1}
 
 
 def test_cli_validate(spark, tmpdir_fresh, capsys):
@@ -135,3 +130,36 @@ def test_cli_run(spark, tmpdir_fresh, capsys):
     assert cli.main(["run", f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/out", "--min-stars", "4", "--verified"]) == 0
     stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert stats["processed_records"] == 4 and stats["total_records"] == 10
+
+
+def test_strict_check_survives_a_count(spark, tmpdir_fresh):
+    write_text(f"{tmpdir_fresh}/in/a.jsonl", '{"a": 1}\n\t \n{broken\n')
+    with pytest.raises(Exception, match="JSON parse error"):
+        N.read_ndjson(spark, f"{tmpdir_fresh}/in").count()
+    assert N.read_ndjson(spark, f"{tmpdir_fresh}/in", N.PERMISSIVE).count() == 2
+
+
+def test_cli_counts_broken_lines(spark, tmpdir_fresh, capsys):
+    from stardust import cli
+    write_text(f"{tmpdir_fresh}/in/a.jsonl", json.dumps(valid_review(review_id="Z")) + "\n{broken\n" + json.dumps(valid_review(review_id="A")) + "\n")
+    assert cli.main(["validate", f"{tmpdir_fresh}/in", "--strict"]) == 1
+    out = json.loads(capsys.readouterr().out.splitlines()[0])
+    assert (out["total"], out["invalid_count"], out["corrupt_count"]) == (3, 1, 1)
+    assert cli.main(["validate", f"{tmpdir_fresh}/in", "--limit", "1", "--strict"]) == 0  # the first line of the file, not the first by spelling
+
+
+def test_library_names_no_master_and_wants_a_shared_folder(spark, monkeypatch):
+    from stardust import session
+
+    class Context:
+        master = "spark://host:7077"
+        getConf = staticmethod(lambda: {})
+
+    class Fake:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake)
+    import inspect
+    assert "local[" not in inspect.signature(session.get_spark).__str__()
