@@ -13,6 +13,7 @@ present-but-null value, a column absent from the frame is a missing field).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -190,10 +191,17 @@ def review_rules(acc: _Access, null_is_missing: bool = False) -> list[Rule]:
 
 
 def errors_column(rules: list[Rule]) -> Column:
-    """V6: all error structs of a record, in rule order (empty when valid)."""
+    """V6: all error structs of a record, in rule order (empty when valid).
+
+    The generated code of a row holds the tests alone; the error texts sit in a
+    lambda, outside it, and only records that fail a test reach them. In one
+    expression they make a method too long for the JIT to compile."""
     items = [F.when(r.bad, F.struct(F.lit(r.field).alias("field"), F.lit(r.rule).alias("rule"),
                                     r.message.alias("message"))) for r in rules]
-    return F.array_compact(F.array(*items))
+    told = F.transform(F.array(F.lit(0)), lambda _: F.array_compact(F.array(*items)))
+    failed = reduce(lambda a, b: a | b, [F.coalesce(r.bad, F.lit(False)) for r in rules])
+    none = F.array().cast("array<struct<field:string,rule:string,message:string>>")
+    return F.when(failed, told[0]).otherwise(none)
 
 
 def annotate(df: DataFrame, v: str | None = "v", null_is_missing: bool = False,

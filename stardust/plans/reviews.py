@@ -31,9 +31,11 @@ def review_lines(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] = RAW
 
 def extract(parsed: DataFrame, types: dict[str, str] = S.REVIEW_TYPES, v: str = "v",
             keep: list[str] | None = None) -> DataFrame:
-    """Typed columns from the raw record; ``v`` is kept for kind checks."""
+    """Typed columns from the raw record in one walk over it (a field that is absent,
+    JSON null or not castable is null); ``v`` is kept for kind checks."""
     keep = keep if keep is not None else [c for c in parsed.columns if c not in types]
-    return parsed.select(*keep, *[J.get(v, name, t).alias(name) for name, t in types.items()])
+    record = J.get(v, "$", "struct<" + ", ".join(f"{n}: {t}" for n, t in types.items()) + ">")
+    return parsed.select(*keep, record.alias("__r")).select(*keep, *[F.col("__r")[n].alias(n) for n in types])
 
 
 def clean_validate(parsed: DataFrame, types: dict[str, str] = S.REVIEW_TYPES, v: str = "v",
