@@ -2,6 +2,10 @@
 import pytest
 
 import __spark_entry__ as E
+from pyspark.sql import functions as F
+from stardust.catalog import QUERIES
+from stardust.operators import keys as K
+from stardust.operators import upsert as U
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,7 +15,7 @@ def plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
     p = plan(spark, name)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
@@ -37,3 +41,20 @@ def test_aggregates_are_partial_then_final(spark):
 
 def test_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(spark, "o1_o2_top_k")
+
+
+def test_a_small_batch_leaves_the_table_in_place(spark, tmpdir_fresh):
+    spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit("x").alias("name")).write.parquet(f"{tmpdir_fresh}/t")
+    spark.range(5).select(F.col("id").cast("string").alias("id"), F.lit("y").alias("name")).write.parquet(f"{tmpdir_fresh}/b")
+    out = U.upsert(spark.read.parquet(f"{tmpdir_fresh}/t"), spark.read.parquet(f"{tmpdir_fresh}/b"), ["id"], ["name"])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+    assert out.where("name = 'y'").count() == 5 and out.count() == 20_000
+
+
+def test_dense_index_joins_its_offsets(spark):
+    df = spark.range(3_000).select((F.col("id") * 7919 % 3001).alias("k")).repartition(300)
+    out = K.dense_index(df, [F.col("k")], "n", partitions=200)
+    assert "map(" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((r.k, r.n) for r in out.collect())
+    assert [n for _, n in rows] == list(range(3_000))
