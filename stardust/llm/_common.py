@@ -126,13 +126,14 @@ def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def slices(batches, column: str, most_bytes: int = 4 << 20):
-    """Arrow batches cut so that ``column`` holds about ``most_bytes`` of text in
-    each (a single longer text stays whole)."""
+def slices(batches, column: str, most_bytes: int = 4 << 20, inside: str | None = None):
+    """Arrow batches cut so that ``column`` (or the field of that name of the struct
+    ``inside``) holds about ``most_bytes`` of text in each (a single longer text
+    stays whole)."""
     for b in batches:
         if not b.num_rows:
             continue
-        off = text_bytes(b.column(column))[1]
+        off = text_bytes(b.column(column) if inside is None else b.column(inside).field(column))[1]
         at = 0
         while at < b.num_rows:
             to = max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1)

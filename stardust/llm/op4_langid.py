@@ -28,7 +28,7 @@ from ..session import materialize
 from ._common import mix, slices, text_bytes
 
 DIM = 4096
-PER_FAMILY = 2000
+PER_FAMILY = 1000
 ROUNDS = 300
 PENALTY = 1e-3
 UNKNOWN = "und"
@@ -109,7 +109,7 @@ def fit(df: DataFrame, per_family: int = PER_FAMILY) -> dict:
     sample = rows.join(chosen, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
 
     def featured(batches):
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", 1 << 20):
             x = vectors(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("family"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "family", "x"])
 
@@ -163,7 +163,8 @@ def decide(names: list[str], pairs: list[tuple[int, str, str]], margins: np.ndar
 def identify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """Every row of ``df`` with ``lang_pred``, ``family_pred`` and ``score``."""
     kept = [c for c in df.columns if c.lower() not in OUT]
-    src = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("text"),
+    # The text goes to Python once, inside its row.
+    src = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
                     F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     out = T.StructType([src.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("family_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     tree, pairs, w = model["tree"], model["pairs"], model["w"]
@@ -173,11 +174,11 @@ def identify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
         duels.setdefault(level, []).append((k, a, b))
 
     def run(batches):
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, text, 1 << 20, "row"):
             letters = b.column("letters").to_numpy(zero_copy_only=False)
             lang, fam, score = np.full(len(letters), UNKNOWN, object), np.full(len(letters), UNKNOWN, object), np.zeros(len(letters))
             if families and letters.any():
-                m = vectors(b.column("text")) @ w[:, :-1].T + w[:, -1]
+                m = vectors(b.column("row").field(text)) @ w[:, :-1].T + w[:, -1]
                 first, p = decide(families, duels.get("", []), m)
                 for i, f in enumerate(families):
                     mine = np.flatnonzero((first == i) & letters)
