@@ -50,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     th = free_name(docs, "th")
     src = docs.withColumn(th, F.xxhash64("text"))
     worded = F.coalesce(src["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    own = src.where(worded).join(keep, (src[th] == keep["h"]) & src["doc_id"].cast("long").eqNullSafe(keep["d"])).select(*[src[c] for c in src.columns])
+    own = src.where(worded).join(keep.hint("merge"), (src[th] == keep["h"]) & src["doc_id"].cast("long").eqNullSafe(keep["d"])).select(*[src[c] for c in src.columns])
     own = own.dropDuplicates(["doc_id", th])  # rows that repeat
     return own.select(*docs.columns).unionByName(src.where(~worded).select(*docs.columns))
 
@@ -63,7 +63,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     got = op5_mix.mix(thin, F.col("words"), F.struct("doc_id", "th"))
     got = got.groupBy("doc_id", "source", "th").agg(F.max("copies").alias("n")).select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("th").alias("h"), "n")
     on = docs["doc_id"].eqNullSafe(got["d"]) & docs["source"].eqNullSafe(got["s"]) & F.xxhash64(docs["text"]).eqNullSafe(got["h"])
-    taken = docs.join(got, on).where(got["n"] > 0).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), got["n"].cast("int"))).alias(copies))
+    taken = docs.join(got.hint("merge"), on).where(got["n"] > 0).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), got["n"].cast("int"))).alias(copies))
     return taken.select(*docs.columns)
 
 
