@@ -4,6 +4,7 @@ encoding every distinct piece of a batch once.
 A text is cut before each run of ASCII blanks that follows a non-blank. No
 pre-tokenizer rule of the two byte-level vocabularies used here reaches across
 such a cut (their rules keep a run of blanks with what follows it, or drop it),
+nor across one between an ASCII letter and a stop or comma, which is made too;
 so the ids of the pieces, put end to end, are the ids of the whole text. There
 is no cut where the character before might be a blank outside ASCII.
 """
@@ -32,6 +33,11 @@ _LEAD = np.zeros(256, bool)  # lead bytes of characters that hold a blank outsid
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
+_LETTER, _STOP = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP[list(b".,!?;:")] = True
+
+
 def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Where the pieces of the texts begin, and the end."""
     blank = _BLANK[data]
@@ -43,11 +49,13 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         odd = data[at - 1] >= 0x80  # rare: look at the character's lead byte
         bad = odd & (_LEAD[data[np.maximum(at - 2, 0)]] & (data[np.maximum(at - 2, 0)] == 0xC2) | _LEAD[data[np.maximum(at - 3, 0)]])
         begin[at[bad]] = False
+        begin[1:] |= _STOP[data[1:]] & _LETTER[data[:-1]]
         begin[off[off < len(data)]] = True
     return np.append(np.flatnonzero(begin), len(data))
 
 
-MEMO_MOST = 200_000  # pieces whose ids a task keeps, the first it meets
+MEMO_MOST = 500_000  # pieces whose ids a worker keeps, the first it meets
+SLICE = 8 << 20      # bytes of text encoded at once
 SEPARATOR = "<|endoftext|>"  # an added token of both vocabularies: texts are encoded apart on either side of it
 JOINED = 64
 
@@ -115,3 +123,9 @@ class Encoder:
         place = np.arange(total) + np.repeat(begin[which] - (ends - take), take)
         first = np.searchsorted(at[:-1], off)  # each text's first piece
         return ids[place], np.concatenate([[0], ends])[first]
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: what it has met serves the tasks that come after."""
+    return Encoder(path)

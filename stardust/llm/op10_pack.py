@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from ._common import slices
-from ._tokens import Encoder
+from ._tokens import SLICE, encoder
 
 TOKENS = 2048                # of a sequence
 DOCUMENTS = 2048             # pieces of a sequence
@@ -51,8 +51,8 @@ def pieces(df: DataFrame, tokenizer: str, most: int = TOKENS, end: int = END, te
                         T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
     def run(batches):
-        enc = Encoder(tokenizer)
-        for b in slices(batches, "text"):
+        enc = encoder(tokenizer)
+        for b in slices(batches, "text", SLICE):
             ids, off = enc.encode(b.column("text"))
             rows, piece, start, length, crc = [], [], [], [], []
             for i in range(b.num_rows):

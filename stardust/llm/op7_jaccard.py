@@ -54,20 +54,15 @@ def prefix(n: int, percent: int = PERCENT) -> int:
     return n - -((-percent * n) // 100) + 1
 
 
-def signature(s: np.ndarray, rate: int, width: int) -> np.ndarray:
-    """A bitmap (64-bit words, a power of two of bits) of one shingle in ``rate``
-    (a power of two), of ``width`` bits a sampled shingle or more."""
-    own = s[(s & np.uint64(rate - 1)) == 0] // np.uint64(rate) if rate > 1 else s
-    bits = 1 << max(6, int(max(1, len(s) * width // rate) - 1).bit_length())
+def signature(s: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap of a set (64-bit words, a power of two of bits), of ``width`` bits a
+    shingle or more."""
+    bits = 1 << max(6, int(max(1, len(s) * width) - 1).bit_length())
     flags = np.zeros(bits, bool)
-    flags[own & np.uint64(bits - 1)] = True
+    flags[s & np.uint64(bits - 1)] = True
     return np.packbits(flags).view(np.uint64)
 
 
-def sampled(s: np.ndarray, rate: int) -> int:
-    return int(((s & np.uint64(rate - 1)) == 0).sum())
-
-
 def fold(b: np.ndarray, words: int) -> np.ndarray:
     """The bitmap at a smaller width (as if it had been made at that width)."""
     return np.bitwise_or.reduce(b.reshape(-1, words), 0) if len(b) > words else b
@@ -75,28 +70,26 @@ def fold(b: np.ndarray, words: int) -> np.ndarray:
 
 class Tree:
     """Nodes over sets in order of size: leaves of ``LEAF`` sets, inner nodes of as
-    many nodes. ``inside``: sampled shingles of each set, ``rest``: its others."""
+    many nodes. A node has the OR of its sets' bitmaps, the range of their sizes and
+    the most shingles of a set that share a bit with others of it."""
 
-    def __init__(self, sizes, bits, inside):
+    def __init__(self, sizes, bits):
         self.order = np.lexsort((np.arange(len(sizes)), sizes))
         self.n = np.asarray(sizes, np.int64)[self.order]
         words = min(len(b) for b in bits)
-        self.bits = np.stack([fold(bits[i], words) for i in self.order])
-        inside = np.asarray(inside, np.int64)[self.order]
-        self.extra = inside - np.bitwise_count(self.bits).sum(1).astype(np.int64)  # shingles that share a bit
-        self.rest = self.n - inside
-        self.levels = [(self.bits, self.n, self.n, self.extra, self.rest, np.arange(len(self.n)), np.arange(len(self.n)) + 1)]
+        own = np.stack([fold(bits[i], words) for i in self.order])
+        extra = self.n - np.bitwise_count(own).sum(1).astype(np.int64)
+        self.levels = [(own, self.n, self.n, extra, np.arange(len(self.n)), np.arange(len(self.n)) + 1)]
         while len(self.levels[-1][1]) > 1:
-            b, lo, hi, ex, re, s, e = self.levels[-1]
+            b, lo, hi, ex, s, e = self.levels[-1]
             at = np.arange(0, len(lo), LEAF)
-            self.levels.append((np.bitwise_or.reduceat(b, at, 0), lo[at], np.maximum.reduceat(hi, at), np.maximum.reduceat(ex, at),
-                                np.maximum.reduceat(re, at), s[at], np.append(s[at][1:], e[-1])))
+            self.levels.append((np.bitwise_or.reduceat(b, at, 0), lo[at], np.maximum.reduceat(hi, at), np.maximum.reduceat(ex, at), s[at], np.append(s[at][1:], e[-1])))
 
     def possible(self, level: int, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
         """Whether sets of nodes ``i`` and ``j`` (arrays) could be similar enough."""
-        b, lo, hi, ex, re, _, _ = self.levels[level]
+        b, lo, hi, ex, _, _ = self.levels[level]
         fits = (100 * lo[j] <= 100 * 100 * hi[i] // percent) & (100 * lo[i] <= 100 * 100 * hi[j] // percent)
-        most = np.bitwise_count(b[i] & b[j]).sum(1).astype(np.int64) + np.minimum(ex[i], ex[j]) + np.minimum(re[i], re[j])
+        most = np.bitwise_count(b[i] & b[j]).sum(1).astype(np.int64) + np.minimum(ex[i], ex[j])
         return fits & (most >= needed(lo[i], lo[j], percent))
 
 
@@ -118,7 +111,7 @@ def link(tree: Tree, percent: int, labels=None, verify=None, wanted=None) -> lis
     stack = [(top, 0, 0)]
     while stack:
         level, a, b = stack.pop()
-        _, _, _, _, _, s, e = tree.levels[level]
+        _, _, _, _, s, e = tree.levels[level]
         own = root[s[a]]
         if (root[s[a]:e[a]] == own).all() and (root[s[b]:e[b]] == own).all():
             continue
@@ -143,6 +136,35 @@ def link(tree: Tree, percent: int, labels=None, verify=None, wanted=None) -> lis
     return out
 
 
+def parts(sizes: np.ndarray, widths: np.ndarray, percent: int):
+    """Which sets go to one tree: those of one bitmap width, and, for each next
+    width, those of both whose sizes are near enough to the other's. So no bitmap
+    is folded to less than half."""
+    each = [np.flatnonzero(widths == w) for w in np.unique(widths)]
+    yield from each
+    for a, b in zip(each, each[1:]):
+        low = a[100 * sizes[a] >= percent * sizes[b].min()]
+        high = b[percent * sizes[b] <= 100 * sizes[a].max()]
+        if len(low) and len(high):
+            yield np.concatenate([low, high])
+
+
+def forest(bits: list[np.ndarray], sizes, percent: int, labels=None, verify=None, wanted=None) -> list[tuple[int, int]]:
+    """``link`` over all sets of a block or group, tree by tree."""
+    sizes, out = np.asarray(sizes, np.int64), []
+    label = np.arange(len(sizes)) if labels is None else np.unique(np.asarray(labels), return_inverse=True)[1]
+    for at in parts(sizes, np.array([len(b) for b in bits]), percent):
+        if len(at) < 2 or (label[at] == label[at[0]]).all():
+            continue
+        tree = Tree(sizes[at], [bits[i] for i in at])
+        check = None if verify is None else lambda i, j, at=at: verify(int(at[i]), int(at[j]))
+        want = None if wanted is None else lambda x, y, at=at: wanted(at[x], at[y])
+        for i, j in link(tree, percent, label[at], check, want):
+            out.append((int(at[i]), int(at[j])))
+            label[label == label[at[j]]] = label[at[i]]
+    return out
+
+
 def sets_of(texts: pa.Array, k: int):
     """The sorted distinct shingles of every text."""
     sh, first = Words(texts, fold_ascii=True).shingles(k)
@@ -153,22 +175,21 @@ def summarise(df: DataFrame, k: int, percent: int) -> DataFrame:
     """``doc_id, th`` and of every row's set the size, a fingerprint, the smallest
     shingles and a bitmap."""
     src = df.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    names = ["doc_id", "th", "n", "f1", "f2", "low", "bits", "inside"]
+    names = ["doc_id", "th", "n", "f1", "f2", "low", "bits"]
 
     def run(batches):
         for b in slices(batches, "text"):
-            n, f1, f2, low, bits, inside = [], [], [], [], [], []
+            n, f1, f2, low, bits = [], [], [], [], []
             for s in sets_of(b.column("text"), k):
                 n.append(len(s))
                 f1.append(int(np.add.reduce(mix(s ^ K1)).astype(np.int64)) if len(s) else 0)
                 f2.append(int(np.add.reduce(mix(s ^ K2)).astype(np.int64)) if len(s) else 0)
                 low.append(s[:2 * prefix(len(s), percent) + SPARE].tobytes())
-                bits.append(signature(s, 4, 2).tobytes())
-                inside.append(sampled(s, 4))
+                bits.append(signature(s, 2).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
-                                              pa.array(low, pa.binary()), pa.array(bits, pa.binary()), pa.array(inside, pa.int64())], names=names)
+                                              pa.array(low, pa.binary()), pa.array(bits, pa.binary())], names=names)
 
-    return src.mapInArrow(run, "doc_id long, th long, n long, f1 long, f2 long, low binary, bits binary, inside long")
+    return src.mapInArrow(run, "doc_id long, th long, n long, f1 long, f2 long, low binary, bits binary")
 
 
 def common_shingles(classes: DataFrame, percent: int) -> np.ndarray:
@@ -185,8 +206,9 @@ def common_shingles(classes: DataFrame, percent: int) -> np.ndarray:
 
 
 def blocks(classes: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """``block, cid, side``: the classes that meet at a shingle, equal blocks once.
-    Blocks of common shingles pair the sets that depend on them (side 0) with all."""
+    """``block, cid``: the classes that meet at a shingle, apart where their sizes are
+    too far from the next ones; equal blocks once. Blocks of common shingles pair
+    the sets that depend on them with all."""
     def spread(batches):
         for b in batches:
             ts, cs, ks = [], [], []
@@ -199,16 +221,17 @@ def blocks(classes: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
                 kind = np.where(np.isin(own, hot), 1 if enough else 0, 2)
                 ts.append(own)
                 cs.append(np.full(len(own), cid, np.int64))
-                ks.append(kind.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts).astype(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(ks))], names=["t", "cid", "kind"])
+                ks.append(kind.astype(np.int64) << 40 | n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ts).astype(np.int64)), pa.array(np.concatenate(cs)), pa.array(np.concatenate(ks))], names=["t", "cid", "kn"])
 
-    rows = classes.select("cid", "n", "low").mapInArrow(spread, "t long, cid long, kind int").repartition("t").sortWithinPartitions("t", "kind", "cid")
+    rows = classes.select("cid", "n", "low").mapInArrow(spread, "t long, cid long, kn long").repartition("t").sortWithinPartitions("t", "kn", "cid")
 
     bucket = BUCKET
 
     def gathered(batches):
-        """Runs of equal shingles, cut to chunks of ``bucket``; a chunk pair is a block."""
-        held, kinds, at = [], [], None
+        """Runs of equal shingles and near sizes, cut to chunks of ``bucket``; a chunk
+        pair is a block."""
+        held, kinds, at, last = [], [], None, 0
 
         def flush():
             if len(held) < 2 or kinds[0] == 1:  # alone, or common and needed by none
@@ -223,14 +246,16 @@ def blocks(classes: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
 
         out = []
         for b in batches:
-            for t, cid, kind in zip(*[b.column(c).to_pylist() for c in ("t", "cid", "kind")]):
-                if t != at:
+            for t, cid, kn in zip(*[b.column(c).to_pylist() for c in ("t", "cid", "kn")]):
+                kind, n = kn >> 40, kn & (1 << 40) - 1
+                if t != at or kind == 2 and 100 * last < percent * n:
                     out += flush()
                     held, kinds, at = [], [], t
                 elif kinds[0] == 1:
                     continue
                 held.append(cid)
                 kinds.append(kind)
+                last = n
                 if len(out) >= 2000:
                     yield packed(out)
                     out = []
@@ -277,14 +302,13 @@ def _links(pairs, size: int = 5000):
 def candidates(classes: DataFrame, met: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` that connect the candidates of every block."""
     def work(rows):
-        cid, n, bits, inside = zip(*rows)
+        cid, n, bits = zip(*rows)
         if len(cid) > 1:
-            tree = Tree(n, [np.frombuffer(x, np.uint64) for x in bits], inside)
-            for i, j in link(tree, percent):
+            for i, j in forest([np.frombuffer(x, np.uint64) for x in bits], n, percent):
                 yield (min(cid[i], cid[j]), max(cid[i], cid[j]))
 
-    rows = met.join(classes.select("cid", "n", "bits", "inside"), "cid").repartition("block").sortWithinPartitions("block", "n", "cid")
-    pairs = rows.mapInArrow(lambda bs: _links(_runs(bs, "block", ["cid", "n", "bits", "inside"], work)), "a long, b long")
+    rows = met.join(classes.select("cid", "n", "bits"), "cid").repartition("block").sortWithinPartitions("block", "n", "cid")
+    pairs = rows.mapInArrow(lambda bs: _links(_runs(bs, "block", ["cid", "n", "bits"], work)), "a long, b long")
     return materialize(pairs.distinct(), "jaccard-candidates")
 
 
@@ -295,8 +319,6 @@ def verified(texts: DataFrame, tasks: DataFrame, k: int, percent: int, cross: bo
     def work(rows):
         rows = list({r[0]: r for r in rows}.values())  # rows of the same id and text
         cid, label, side, s = zip(*rows)
-        sizes = [len(x) for x in s]
-        tree = Tree(sizes, [signature(x, 1, 4) for x in s], sizes)
         far = np.array(side)
 
         def same(i, j):
@@ -305,14 +327,16 @@ def verified(texts: DataFrame, tasks: DataFrame, k: int, percent: int, cross: bo
             shared = int((both[1:] == both[:-1]).sum())
             return 100 * shared >= percent * (len(s[i]) + len(s[j]) - shared)
 
-        for i, j in link(tree, percent, label, same, (lambda x, y: far[x] != far[y]) if cross else None):
+        apart = (lambda x, y: far[x] != far[y]) if cross else None
+        for i, j in forest([signature(x, 4) for x in s], [len(x) for x in s], percent, label, same, apart):
             yield (min(cid[i], cid[j]), max(cid[i], cid[j]))
 
     def run(batches):
         return _links(_runs(slices(batches, "text"), "task", ["cid", "label", "side"], work, lambda b: sets_of(b.column("text"), k)))
 
-    # texts travel, not sets: a text is smaller than the hashes of its shingles
-    rows = texts.join(tasks, F.col("th").eqNullSafe(F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("task", "cid", "label", "side", "text")
+    # texts travel, not sets: a text is smaller than the hashes of its shingles;
+    # the members grow with the documents, so the join is a shuffle at every size
+    rows = texts.join(tasks.hint("merge"), F.col("th").eqNullSafe(F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("task", "cid", "label", "side", "text")
     return rows.repartition("task").sortWithinPartitions("task", "cid").mapInArrow(run, "a long, b long")
 
 
@@ -320,7 +344,7 @@ def jaccard_links(df: DataFrame, k: int = 3, percent: int = PERCENT) -> tuple[Da
     """``rows(doc_id, th, n, f1, f2)``, ``classes(cid, f1, f2, doc)`` and
     ``links(a, b)`` between classes that connect all that are linked."""
     every = materialize(summarise(df, k, percent), "jaccard-rows")
-    first = F.min_by(F.struct("n", "low", "bits", "inside", "doc_id", "th"), F.struct("doc_id", "th"))
+    first = F.min_by(F.struct("n", "low", "bits", "doc_id", "th"), F.struct("doc_id", "th"))
     classes = every.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("doc"), first.alias("x"))
     classes = materialize(classes.select("f1", "f2", "doc", "x.*").withColumn("cid", F.monotonically_increasing_id()), "jaccard-classes")
     hot = common_shingles(classes, percent)

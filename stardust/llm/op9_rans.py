@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ._common import slices
-from ._tokens import Encoder
+from ._tokens import SLICE, encoder
 
 BITS = 20
 LOW = 31                 # states are 2**31 or more between steps
@@ -132,8 +132,8 @@ def write_ids(df: DataFrame, tokenizer: str, path: str, end: int = END, block: i
     ranged = df.select("key", "text").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
     def coded(batches):
-        enc, nth = Encoder(tokenizer), {}
-        for b in slices(batches, "text"):
+        enc, nth = encoder(tokenizer), {}
+        for b in slices(batches, "text", SLICE):
             ids, off = enc.encode(b.column("text"))
             part = b.column("part").to_numpy()
             raw, number = [], []

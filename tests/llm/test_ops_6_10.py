@@ -85,10 +85,10 @@ def test_op7_tree_bounds_lose_nothing():
     base = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (5, 40, 40, 300)]
     sets = [np.unique(np.concatenate([b[rng.random(len(b)) > 0.05], rng.integers(0, 2**63, 1, dtype=np.uint64)])) for b in base for _ in range(20)]
     sets = [s for s in sets if len(s)]
-    for rate, width in ((1, 4), (4, 2)):
-        tree = op7_jaccard.Tree([len(s) for s in sets], [op7_jaccard.signature(s, rate, width) for s in sets], [op7_jaccard.sampled(s, rate) for s in sets])
+    for width in (1, 2, 4):
+        bits = [op7_jaccard.signature(s, width) for s in sets]
         tested = lambda i, j: len(np.intersect1d(sets[i], sets[j])) * 100 >= 90 * len(np.union1d(sets[i], sets[j]))
-        got = find(op7_jaccard.link(tree, 90, verify=tested))
+        got = find(op7_jaccard.forest(bits, [len(s) for s in sets], 90, verify=tested))
         want = find([(i, j) for i in range(len(sets)) for j in range(i) if tested(i, j)])
         assert {i: got.get(i, i) for i in range(len(sets))} == {i: want.get(i, i) for i in range(len(sets))}
 

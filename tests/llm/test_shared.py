@@ -56,7 +56,7 @@ def test_words_and_shingles():
 def test_pieces_give_the_ids_of_the_whole_text():
     import public_tokenizers as P
     texts = ["", None, " ", "a  b", " a ", "a\n\n b", "x  y", "  x  y", "é  é ", "é b", "<|endoftext|> a<|endoftext|>b <|x|>", "it's 'til  's", "á ́c",
-             "\tfoo\r\n bar\x0b\x0c", "ΑΣ ΣΑΣ.", "123 456", "İ i", "日本 語", "\x85 a", "a\x1c b", "!!! ...", "a\x00 b", "　 　x"]
+             "\tfoo\r\n bar\x0b\x0c", "ΑΣ ΣΑΣ.", "123 456", "İ i", "日本 語", "\x85 a", "a\x1c b", "!!! ...", "a.b,c;;d é, €, x.!y", "don.t 's.a", "a\x00 b", "　 　x"]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         e, tk = Encoder(P.path(name)), tokenizer(P.path(name))
         for _ in range(2):  # the second time from memory
