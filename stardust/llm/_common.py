@@ -126,17 +126,29 @@ def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
-def slices(batches, column: str, most_bytes: int = 4 << 20, inside: str | None = None):
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on a batch that goes to Python holds about 8 MB, not 10,000 rows
+    of any length (unless the session names another bound)."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES, None) is None:
+        conf.set(BATCH_BYTES, str(8 << 20))
+    return df
+
+
+def slices(batches, column: str, most_bytes: int = 4 << 20, inside: str | None = None, most_rows: int = 1 << 30):
     """Arrow batches cut so that ``column`` (or the field of that name of the struct
     ``inside``) holds about ``most_bytes`` of text in each (a single longer text
-    stays whole)."""
+    stays whole), and ``most_rows`` rows."""
     for b in batches:
         if not b.num_rows:
             continue
         off = text_bytes(b.column(column) if inside is None else b.column(inside).field(column))[1]
         at = 0
         while at < b.num_rows:
-            to = max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1)
+            to = min(at + most_rows, max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1))
             yield b.slice(at, to - at)
             at = to
 

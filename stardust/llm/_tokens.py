@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from ._common import _BLANK, text_bytes
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
@@ -54,10 +54,11 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(begin), len(data))
 
 
-MEMO_MOST = 500_000  # pieces whose ids a worker keeps, the first it meets
-SLICE = 8 << 20      # bytes of text encoded at once
+MEMO_BYTES = 16 << 20  # of pieces and their ids that a worker keeps, the first it meets
+SLICE = 2 << 20        # bytes of text encoded at once
 SEPARATOR = "<|endoftext|>"  # an added token of both vocabularies: texts are encoded apart on either side of it
 JOINED = 64
+AT_ONCE = 128  # joined texts given to the tokenizer in a call: its results are objects of many bytes a token
 
 
 def _encode(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +71,8 @@ def _encode(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = [np.array(g.ids, np.uint32) for g in tk.encode_batch_fast(pieces, add_special_tokens=False)]
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
     texts = [SEPARATOR.join(pieces[i:i + JOINED]) + SEPARATOR for i in range(0, len(pieces), JOINED)]
-    flat = np.concatenate([np.array(g.ids, np.uint32) for g in tk.encode_batch_fast(texts, add_special_tokens=False)])
+    flat = np.concatenate([np.array(g.ids, np.uint32) for i in range(0, len(texts), AT_ONCE)
+                           for g in tk.encode_batch_fast(texts[i:i + AT_ONCE], add_special_tokens=False)])
     stop = np.flatnonzero(flat == mark)
     return flat[flat != mark], np.diff(stop, prepend=-1) - 1
 
@@ -100,7 +102,7 @@ class Encoder:
             ids = np.concatenate([ids, *[p[1] for p in parts]])
             at[new[order]] = len(sizes) + np.arange(len(order))
             sizes = np.concatenate([sizes, *[p[2] for p in parts]])
-            if len(self.known) + len(order) <= MEMO_MOST:
+            if self.known.nbytes + fresh.nbytes + ids.nbytes + sizes.nbytes <= MEMO_BYTES:
                 self.known = pa.concat_arrays([self.known, fresh.take(pa.array(order))])
                 self.ids, self.sizes = ids, sizes
         begin = np.cumsum(sizes) - sizes
@@ -125,7 +127,8 @@ class Encoder:
         return ids[place], np.concatenate([[0], ends])[first]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder: what it has met serves the tasks that come after."""
+    """The worker's encoder: what it has met, ``MEMO_BYTES`` of it, serves the tasks
+    that come after; that of another vocabulary takes its place."""
     return Encoder(path)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from ._common import slices
+from ._common import bounded_batches, slices
 from ._tokens import SLICE, encoder
 
 TOKENS = 2048                # of a sequence
@@ -67,7 +67,7 @@ def pieces(df: DataFrame, tokenizer: str, most: int = TOKENS, end: int = END, te
             yield pa.RecordBatch.from_arrays([b.column("row").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                                               pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=out.names)
 
-    got = src.mapInArrow(run, out)
+    got = bounded_batches(src).mapInArrow(run, out)
     return got.select(*[F.col("row")[c].alias(c) for c in kept], *out.names[1:])
 
 

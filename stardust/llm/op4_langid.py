@@ -4,7 +4,8 @@ within it, both by one-versus-one linear support vector machines.
 A text's features are the shares of its hashed letter bigrams and trigrams (over
 bytes; ASCII folded to lower case, other ASCII read as blanks). ``fit`` learns
 from a bounded sample: ``PER_FAMILY`` texts of each family, shared by its
-languages, the distinct texts with the lowest hashes; every pair of classes is
+languages, distinct texts with the lowest hashes among those whose low 30 bits
+pass a share of the language's size; every pair of classes is
 trained in a task of its own on at most twice that number of vectors. ``identify``
 then reads every whole text once.
 
@@ -25,10 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from ._common import mix, slices, text_bytes
+from ._common import bounded_batches, mix, slices, text_bytes
 
 DIM = 4096
 PER_FAMILY = 1000
+ROWS = 256  # texts whose dense vectors a worker holds at once
 ROUNDS = 300
 PENALTY = 1e-3
 UNKNOWN = "und"
@@ -74,9 +76,11 @@ def vectors(arr: pa.Array) -> np.ndarray:
     bits = np.uint32(32 - (DIM.bit_length() - 1))
     cell = lambda x: (x * np.uint32(2654435761)) >> bits
     base = row * DIM
-    x = np.bincount(base + cell(two), minlength=n * DIM) + np.bincount(base + cell(three), minlength=n * DIM)
-    x = x.reshape(n, DIM).astype(np.float32)
-    return x / np.maximum(x.sum(1, keepdims=True), 1)
+    x = np.bincount(base + cell(two), minlength=n * DIM).astype(np.float32)
+    x += np.bincount(base + cell(three), minlength=n * DIM)
+    x = x.reshape(n, DIM)
+    x /= np.maximum(x.sum(1, keepdims=True), 1)
+    return x
 
 
 def train(x: np.ndarray, y: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -109,11 +113,11 @@ def fit(df: DataFrame, per_family: int = PER_FAMILY) -> dict:
     sample = rows.join(chosen, ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"])
 
     def featured(batches):
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text", 1 << 20, most_rows=ROWS):
             x = vectors(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("family"), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "family", "x"])
 
-    sample = materialize(sample.select("lang", "family", "text").mapInArrow(featured, "lang string, family string, x binary"), "langid-sample")
+    sample = materialize(bounded_batches(sample.select("lang", "family", "text")).mapInArrow(featured, "lang string, family string, x binary"), "langid-sample")
     langs = sample.select("family", "lang").distinct().orderBy("family", "lang").collect()  # one row per language
     tree: dict[str, list[str]] = {}
     for r in langs:
@@ -174,7 +178,7 @@ def identify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
         duels.setdefault(level, []).append((k, a, b))
 
     def run(batches):
-        for b in slices(batches, text, 1 << 20, "row"):
+        for b in slices(batches, text, 1 << 20, "row", ROWS):
             letters = b.column("letters").to_numpy(zero_copy_only=False)
             lang, fam, score = np.full(len(letters), UNKNOWN, object), np.full(len(letters), UNKNOWN, object), np.zeros(len(letters))
             if families and letters.any():
@@ -188,7 +192,7 @@ def identify(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
                         score[mine] = p[mine] * q
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(lang, pa.string()), pa.array(fam, pa.string()), pa.array(score)], names=out.names)
 
-    got = src.mapInArrow(run, out)
+    got = bounded_batches(src).mapInArrow(run, out)
     return got.select(*[F.col("row")[c].alias(c) for c in kept], *OUT)
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ._common import Words, components, mix, slices
+from ._common import Words, bounded_batches, components, mix, slices
 
 SENTENCE = 5
 SHINGLE = 5
@@ -143,7 +143,7 @@ def paragraphs(df: DataFrame, bands: int, rows: int) -> DataFrame:
                 [b.column("doc_id").take(own), b.column("th").take(own), pa.array(p.nth.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32)),
                  pa.array((p.stop - p.begin).astype(np.int32)), pa.array(p.fp.astype(np.int64)), *[pa.array(key[:, i]) for i in range(pairs)]], names=names)
 
-    return src.mapInArrow(run, "doc_id long, th long, nth int, start int, length int, words int, fp long" + "".join(f", k{i} long" for i in range(pairs)))
+    return bounded_batches(src).mapInArrow(run, "doc_id long, th long, nth int, start int, length int, words int, fp long" + "".join(f", k{i} long" for i in range(pairs)))
 
 
 def colliding(distinct: DataFrame, bands: int) -> DataFrame:
@@ -216,7 +216,7 @@ def similar(df: DataFrame, places: DataFrame, pairs: DataFrame, least: float) ->
             own = [first[i] + n for i, x in enumerate(b.column("nths").to_pylist()) for n in x]
             yield pa.RecordBatch.from_arrays([pa.array(p.fp[own].astype(np.int64)), pa.array([np.unique(s[seg[i]:seg[i + 1]]).tobytes() for i in own], pa.binary())], names=["fp", "s"])
 
-    held = materialize(src.mapInArrow(sets, "fp long, s binary").dropDuplicates(["fp"]), "passages-sets")
+    held = materialize(bounded_batches(src).mapInArrow(sets, "fp long, s binary").dropDuplicates(["fp"]), "passages-sets")
     both = pairs.join(held.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
 
     def compared(batches):

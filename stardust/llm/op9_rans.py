@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ._common import slices
+from ._common import bounded_batches, slices
 from ._tokens import SLICE, encoder
 
 BITS = 20
@@ -145,7 +145,7 @@ def write_ids(df: DataFrame, tokenizer: str, path: str, end: int = END, block: i
                                              names=["part", "nth", "key", "ids"])
 
     rows = scratch_path(spark, "rans-ids")
-    ranged.mapInArrow(coded, "part int, nth long, key long, ids binary").write.option("compression", "zstd").parquet(rows)
+    bounded_batches(ranged).mapInArrow(coded, "part int, nth long, key long, ids binary").write.option("compression", "zstd").parquet(rows)
     rows = spark.read.parquet(rows)
 
     def counted(batches):

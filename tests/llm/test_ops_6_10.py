@@ -132,7 +132,8 @@ def test_op8_bands_reach_the_recall():
 
 
 def test_op8_large_buckets_are_connected(spark):
-    rows = [(i, 5, 5) for i in range(300)] + [(1000, 9, 9), (1001, 9, 8)]
+    two = lambda a, b: a << 32 | b  # noqa: E731  a long holds the keys of two bands
+    rows = [(i, two(6, 5), two(8, 7)) for i in range(300)] + [(1000, two(9, 9), two(9, 9)), (1001, two(10, 9), two(11, 10))]
     pairs = op8_passages.colliding(spark.createDataFrame(rows, "fp long, k0 long, k1 long"), 4).collect()
     assert set(find([(r.a, r.b) for r in pairs]).values()) == {0, 1000} and len(pairs) < 300 * 20
 

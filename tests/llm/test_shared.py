@@ -63,3 +63,22 @@ def test_pieces_give_the_ids_of_the_whole_text():
             ids, off = e.encode(pa.array(texts))
             for i, t in enumerate(texts):
                 assert ids[off[i]:off[i + 1]].tolist() == tk.encode(t or "", add_special_tokens=False).ids, (name, t)
+
+
+def test_memory_of_a_worker_is_bounded(spark, monkeypatch):
+    import public_tokenizers as P
+
+    from stardust.llm import _tokens, op4_langid
+    batch = pa.RecordBatch.from_arrays([pa.array(["hello"] * 10_000)], names=["text"])
+    cut = list(C.slices([batch], "text", 1 << 20, most_rows=op4_langid.ROWS))
+    assert sum(b.num_rows for b in cut) == 10_000 and max(op4_langid.vectors(b.column("text")).nbytes for b in cut) <= 8 << 20
+    monkeypatch.setattr(_tokens, "MEMO_BYTES", 4000)
+    e, tk = Encoder(P.path("byte_bpe_50k.json")), tokenizer(P.path("byte_bpe_50k.json"))
+    for k in range(8):
+        texts = [f"word{i} then {i}" for i in range(100 * k, 100 * k + 100)]
+        ids, off = e.encode(pa.array(texts))
+        assert [ids[off[i]:off[i + 1]].tolist() for i in range(100)] == [tk.encode(t).ids for t in texts]
+        assert e.known.nbytes + e.ids.nbytes + e.sizes.nbytes <= 4000
+    df = spark.createDataFrame([("x" * 1000,)] * 30_000, "text string").coalesce(1)
+    sizes = C.bounded_batches(df).mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in bs), "n long").collect()
+    assert max(r.n for r in sizes) * 1000 <= 9 << 20
