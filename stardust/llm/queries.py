@@ -3,7 +3,10 @@ where SQL cannot express the operator; its tests hold a brute-force version)."""
 
 from __future__ import annotations
 
-from . import op1_divergence, op2_chat, op3_lines, op4_langid, op5_mix, op6_kdtree, op7_jaccard, op8_passages, op9_rans, op10_pack
+from . import (
+    op1_divergence, op2_chat, op3_lines, op4_langid, op5_mix, op6_kdtree, op7_jaccard, op8_passages, op9_rans, op10_pack,
+    op11_prefix_counts,
+)
 
 QUERIES = {
     "op1_divergence": op1_divergence.op1_divergence,
@@ -16,6 +19,7 @@ QUERIES = {
     "op8_passages": op8_passages.op8_passages,
     "op9_rans": op9_rans.op9_rans,
     "op10_pack": op10_pack.op10_pack,
+    "op11_prefix_counts": op11_prefix_counts.op11_prefix_counts,
 }
 
 ORACLE = {"op5_mix": op5_mix.SQL, "op6_kdtree": op6_kdtree.SQL, "op7_jaccard": op7_jaccard.SQL}
