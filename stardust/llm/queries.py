@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from . import (
     op1_divergence, op2_chat, op3_lines, op4_langid, op5_mix, op6_kdtree, op7_jaccard, op8_passages, op9_rans, op10_pack,
-    op11_prefix_counts,
+    op11_prefix_counts, op12_collocations,
 )
 
 QUERIES = {
@@ -20,6 +20,7 @@ QUERIES = {
     "op9_rans": op9_rans.op9_rans,
     "op10_pack": op10_pack.op10_pack,
     "op11_prefix_counts": op11_prefix_counts.op11_prefix_counts,
+    "op12_collocations": op12_collocations.op12_collocations,
 }
 
-ORACLE = {"op5_mix": op5_mix.SQL, "op6_kdtree": op6_kdtree.SQL, "op7_jaccard": op7_jaccard.SQL}
+ORACLE = {"op5_mix": op5_mix.SQL, "op6_kdtree": op6_kdtree.SQL, "op7_jaccard": op7_jaccard.SQL, "op12_collocations": op12_collocations.SQL}

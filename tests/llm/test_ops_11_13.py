@@ -1,6 +1,8 @@
 """Prefix counts, collocations and the Merkle manifest against brute force."""
 
 import random
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stardust.llm import op11_prefix_counts as op11
+from stardust.llm import op12_collocations as op12
 
 from .conftest import documents
 
@@ -68,3 +71,65 @@ def test_op11_query_against_the_library(spark):
     for r in got:
         n = len(sp.encode(texts[r.doc_id]))
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 4096)
+
+
+def by_hand(rows, least, top):
+    """Collocations of (text, lang) as the contract words them."""
+    f, n = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(w)
+            for m in range(1, 6):
+                f[lang or "und"].update(tuple(w[i:i + m]) for i in range(len(w) - m + 1))
+    out = []
+    for lang, c in f.items():
+        every = {g: a for g, a in c.items() if len(g) > 1 and a >= least}
+        inside = defaultdict(int)
+        for g, a in every.items():
+            for m in range(2, len(g)):
+                for i in range(len(g) - m + 1):
+                    inside[g[i:i + m]] = max(inside[g[i:i + m]], a)
+        kept = []
+        for g, a in every.items():
+            if inside[g] < a:
+                score, _, l, r = min((1000 * a * n[lang] // (c[g[:k]] * c[g[k:]]), k, c[g[:k]], c[g[k:]]) for k in range(1, len(g)))
+                kept.append((-score, -a, " ".join(g).encode(), l, r))
+        out += [(lang, i, p.decode(), -a, l, r, n[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(kept)[:top], 1)]
+    return sorted(out)
+
+
+def sentences(rnd, n):
+    vocab = ["a", "b", "c", "d", "é", "ß", "new", "york", "city", "x", "the"]
+    rows = []
+    for i in range(n):
+        w = [rnd.choice(vocab) for _ in range(rnd.randrange(0, 60))]
+        if rnd.random() < 0.5:
+            w[3:3] = ["New", "York", "Stock", "Exchange", "opens"]
+        rows.append(("".join(x + rnd.choice([" ", " ", " ", "\t ", ". ", ",", "\n", "\r\n "]) for x in w), rnd.choice(["en", "en", "de", None, "und"])))
+    return rows + [(None, "en"), ("", None), ("   ", "zz"), ("one two three", "one")]
+
+
+@pytest.mark.parametrize("held,hot", [(600_000, 4096), (50, 3)])
+def test_op12_against_brute_force(spark, monkeypatch, held, hot):
+    monkeypatch.setattr(op12, "HELD", held)
+    monkeypatch.setattr(op12, "HOT", hot)
+    monkeypatch.setattr(op12, "SLICE", 2000 if held == 50 else 1 << 20)
+    rows = sentences(random.Random(6), 400)
+    df = spark.createDataFrame(rows, "text string, lang string").withColumns({c: F.lit(1) for c in ("h", "prefix", "next", "phrase", "f", "n", "rank")})
+    for top in (2000, 7):
+        got = op12.ranked(op12.collocations(df.repartition(5), least=8), top).collect()
+        assert sorted(tuple(r) for r in got) == by_hand(rows, 8, top)
+    levels, stripes, _ = op12.phrases(df, least=8)
+    for own, s in zip(levels, stripes):  # a stripe's total is its prefix's count
+        both = own.join(s.groupBy(F.col("prefix").alias("h")).agg(F.sum("total").alias("total")), "h").collect()
+        assert len(both) == own.count() and all(r.f == r.total for r in both)
+
+
+def test_op12_edges(spark, edge, empty):
+    rows = [(r.text, r.lang) for r in edge.collect()]
+    assert sorted(tuple(r) for r in op12.ranked(op12.collocations(edge, least=2)).collect()) == by_hand(rows, 2, 2000)
+    assert op12.collocations(empty).count() == 0
+    big = spark.createDataFrame([("x y", 10**12, 10**12 + 7, 10**12 + 9, 2 * 10**13)], "phrase string, a long, l long, r long, n long")
+    assert op12.scored(big.withColumns({"ls": F.array("l"), "rs": F.array("r"), "lang": F.lit("en")})).first().score == 1000 * 10**12 * 2 * 10**13 // ((10**12 + 7) * (10**12 + 9))
