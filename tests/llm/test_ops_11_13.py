@@ -1,7 +1,9 @@
 """Prefix counts, collocations and the Merkle manifest against brute force."""
 
+import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stardust.llm import op11_prefix_counts as op11
 from stardust.llm import op12_collocations as op12
+from stardust.llm import op13_merkle as op13
 
 from .conftest import documents
 
@@ -133,3 +136,89 @@ def test_op12_edges(spark, edge, empty):
     assert op12.collocations(empty).count() == 0
     big = spark.createDataFrame([("x y", 10**12, 10**12 + 7, 10**12 + 9, 2 * 10**13)], "phrase string, a long, l long, r long, n long")
     assert op12.scored(big.withColumns({"ls": F.array("l"), "rs": F.array("r"), "lang": F.lit("en")})).first().score == 1000 * 10**12 * 2 * 10**13 // ((10**12 + 7) * (10**12 + 9))
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(hashes, arity=3):
+    """The root of the nodes and, for each, what stands beside it on the way up."""
+    at, paths, own = list(hashes), [[] for _ in hashes], list(range(len(hashes)))
+    while len(at) > 1:
+        for i, o in enumerate(own):
+            run = at[o // arity * arity:o // arity * arity + arity]
+            paths[i].append(("".join(run[:o % arity]), "".join(run[o % arity + 1:])))
+            own[i] = o // arity
+        at = [sha(*at[i:i + arity]) for i in range(0, len(at), arity)]
+    return at[0], paths
+
+
+def manifest_by_hand(rows):
+    """(doc_id, source, lang, n_chars, text) rows as the contract words it."""
+    def leaf(r):
+        return sha(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in r])
+
+    groups = defaultdict(list)
+    for r in rows:
+        even = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0
+        seen = (*r[:4], r[4].replace("\n", "") if even and r[4] is not None else r[4])
+        groups[r[1]].append(((r[0] is not None, r[0] or 0), leaf(r), leaf(seen)))
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: merkle([x[1] for x in sorted(groups[s])]) for s in names}
+    root, outer = merkle([trees[s][0] for s in names]) if names else (None, [])
+    out = []
+    for s, up in zip(names, outer):
+        for ((some, d), own, seen), path in zip(sorted(groups[s]), trees[s][1]):
+            now = seen
+            for a, b in path + up:
+                now = sha(a, now, b)
+            out.append((d if some else None, own, trees[s][0], root, sha(*[a + b for a, b in path + up]), now, now == root))
+    return out
+
+
+def none_first(rows):
+    return sorted(rows, key=lambda r: tuple((v is not None, v) if v is not None else (False, 0) for v in r))
+
+
+def manifest_of(docs):
+    fields = [F.col(c) for c in op13.FIELDS]
+    got = op13.manifest(docs.select("source", F.col("doc_id").alias("key"), op13.leaf(fields).alias("leaf"), op13.leaf([*fields[:-1], op13.tampered(docs)]).alias("seen")))
+    return [tuple(r) for r in got.select("key", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()]
+
+
+@pytest.mark.parametrize("digits", [6, 1, 2])
+def test_op13_against_brute_force(spark, monkeypatch, digits):
+    monkeypatch.setattr(op13, "DIGITS", digits)
+    rnd = random.Random(digits)
+    sizes = {"hot": 100, "one": 1, None: 4, "é": 9, "z": 28, "": 3, "b": 10} if digits < 6 else {"hot": 2300, "one": 1, None: 3, "y": 730, "z": 729}
+    rows = []
+    for s, n in sizes.items():
+        ids = rnd.sample(range(10_000_000), n)
+        rows += [(i, s, rnd.choice(["en", None]), rnd.choice([5, None]), rnd.choice(["a\nb", "\n", "x", "", None, "ü\n"])) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(5)
+    assert none_first(manifest_of(docs)) == none_first(manifest_by_hand(rows))
+
+
+def test_op13_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(op13, "DIGITS", 2)
+    rows = [(i, f"s{i % 40}", "en", 1, "a\nb") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    assert none_first(manifest_of(docs)) == none_first(manifest_by_hand(rows))
+
+
+def test_op13_edges(spark, edge, empty):
+    rows = [(r.doc_id, r.source, r.lang, r.n_chars, r.text) for r in edge.collect()]
+    assert none_first(manifest_of(edge)) == none_first(manifest_by_hand(rows))
+    assert manifest_of(empty) == []
+    one = spark.createDataFrame([(8, "s", "en", 3, "a\nb")], "doc_id long, source string, lang string, n_chars long, text string")
+    got = manifest_of(one)
+    assert got[0][1] == got[0][2] == got[0][3] and got[0][4] == sha("") and got == manifest_by_hand([(8, "s", "en", 3, "a\nb")])
+
+
+def test_op13_plan_joins_no_leaves_within_blocks(spark):
+    """The paths come from exploding: the only joins are with a row a block or a source."""
+    rows = [(i, "s", "en", 1, "a") for i in range(50)]
+    own = spark.createDataFrame([(r[1], r[0], "h", r[0], 50) for r in rows], "source string, key long, h string, rank long, size long")
+    plan = op13._tops(own, "source", ["key"], "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "Join" not in plan
