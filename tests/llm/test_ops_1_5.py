@@ -79,33 +79,45 @@ def test_op2_digests_windows_and_edges(spark):
 
 
 def later(texts, least=10):
+    """The lines of every later copy of a run of any length with ``least`` words."""
     lines = [t.split("\n") if t is not None else [] for t in texts]
-    gone, depth = [set() for _ in lines], 1
-    while True:
-        seen, again = set(), False
+    gone = [set() for _ in lines]
+    for depth in range(1, max(map(len, lines)) + 1):
+        seen = set()
         for a, ls in enumerate(lines):
             for q in range(len(ls) - depth + 1):
                 b = tuple(ls[q:q + depth])
-                if b in seen:
-                    again = True
-                    if sum(len(W.findall(x)) for x in b) >= least:
-                        gone[a].update(range(q, q + depth))
+                if b in seen and sum(len(W.findall(x)) for x in b) >= least:
+                    gone[a].update(range(q, q + depth))
                 seen.add(b)
-        if not again:
-            return lines, gone
-        depth *= 2
+    return lines, gone
+
+
+def longest(gone):
+    best = 0
+    for x in gone:
+        n = 0
+        while x + n in gone:
+            n += 1
+        best = max(best, n)
+    return best
 
 
 def test_op3_against_brute_force(spark, edge, empty):
     rnd = random.Random(8)
     pool = ["a b c", "d", "", "e f g h i j k l m n o", "p q r s", "t u v w x y z a b c d e"]
     texts = [None, "", "\n\n", "x"] + ["\n".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 12))) for _ in range(40)]
-    texts += [texts[9], texts[9], "\n".join(["d"] * 64)]
+    texts += [texts[9], texts[9], "\n".join(["d"] * 64), "x\n" + "\n" * 20 + "p q r s", "\n" * 20 + "p q r s t u v w x y"]
+    for n in (3, 5, 6, 7):  # runs that have the words only as a whole
+        run = "\n".join(f"{n} u{i} v{i} w{i}"[:8 if n == 3 else 4] for i in range(n))
+        texts += [f"begin {n}\n{run}\nend {n}", f"other {n}\n{run}\nlast {n}"]
+    texts += ["q1 b c d\nq2 b c d\nq3 b c d", "top\nq1 b c d\nq2 b c d\nq3 b c d\nlow"]
     got = {r.doc_id: r for r in op3_lines.dedup_lines(documents(spark, texts)).collect()}
     lines, gone = later(texts)
     for i, t in enumerate(texts):
         want = t if not gone[i] else "\n".join(x for q, x in enumerate(lines[i]) if q not in gone[i])
-        assert (got[i].text, got[i]._n_lines, got[i].n_removed) == (want, len(lines[i]), len(gone[i])), i
+        assert (got[i].text, got[i]._n_lines, got[i].n_removed, got[i].longest_run) == (want, len(lines[i]), len(gone[i]), longest(gone[i])), i
+    assert len(gone[-1]) == 3  # three lines of four words
     kept = op3_lines.dedup_lines(documents(spark, ["e f g h i j k l m n o", "e f g h i j k l m n o", "d", "d", None]), drop_emptied=True)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4]
     out = op3_lines.dedup_lines(edge)
