@@ -138,7 +138,7 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def slices(batches, column: str, most_bytes: int = 4 << 20, inside: str | None = None, most_rows: int = 1 << 30):
+def slices(batches, column: str, most_bytes: int = 1 << 20, inside: str | None = None, most_rows: int = 1 << 30):
     """Arrow batches cut so that ``column`` (or the field of that name of the struct
     ``inside``) holds about ``most_bytes`` of text in each (a single longer text
     stays whole), and ``most_rows`` rows."""

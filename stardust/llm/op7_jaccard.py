@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ._common import Words, components, mix, slices
+from ._common import Words, bounded_batches, components, mix, slices
 
 PERCENT = 90
 CHUNK = 4096     # sets of a chunk of a group
@@ -189,7 +189,7 @@ def summarise(df: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
                                               pa.array(low, pa.binary()), pa.array(bits, pa.binary())], names=names)
 
-    return src.mapInArrow(run, "doc_id long, th long, n long, f1 long, f2 long, low binary, bits binary")
+    return bounded_batches(src).mapInArrow(run, "doc_id long, th long, n long, f1 long, f2 long, low binary, bits binary")
 
 
 def common_shingles(classes: DataFrame, percent: int) -> np.ndarray:

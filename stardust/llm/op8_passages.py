@@ -15,12 +15,14 @@ links' components are the clusters. All occurrences in a cluster after the first
 neighbouring later copies of ``RUN_WORDS`` words or more are what goes: half of
 a 50-word passage, as its ends may be cut off.
 
-In a bucket of more than ``ALL_PAIRS`` different paragraphs each is paired with
-the first ``PIVOTS`` and with the one before it, not with all.
+The paragraphs of a bucket of more than ``ALL_PAIRS`` different ones are not paired
+there: all paragraphs of such buckets are joined by ``op7_jaccard``'s exact join, whose
+prefix filter and signature trees spread them by their shingles. No link is lost to the
+size of a bucket.
 
 Defined results: a null or wordless text has no paragraphs; rows of equal id and
 text share their result; a very long text is many rows; an empty table gives an
-empty result.
+empty result; other columns are left out by ``repeated`` and kept by ``without``.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import op7_jaccard
 from ._common import Words, bounded_batches, components, mix, slices
 
 SENTENCE = 5
@@ -42,7 +45,6 @@ RECALL = 0.98
 MOST_BANDS = 4
 RUN_WORDS = 25
 ALL_PAIRS = 64
-PIVOTS = 16
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 65, dtype=np.uint64) * _K) | np.uint64(1)
 
@@ -146,8 +148,9 @@ def paragraphs(df: DataFrame, bands: int, rows: int) -> DataFrame:
     return bounded_batches(src).mapInArrow(run, "doc_id long, th long, nth int, start int, length int, words int, fp long" + "".join(f", k{i} long" for i in range(pairs)))
 
 
-def colliding(distinct: DataFrame, bands: int) -> DataFrame:
-    """Pairs ``a, b`` of different paragraphs (fingerprints) that share a band's key."""
+def colliding(distinct: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of different paragraphs (fingerprints) that share a band's key,
+    and the paragraphs ``fp`` whose buckets hold too many to be paired."""
     pairs = -(-bands // 2)
 
     def keys(batches):
@@ -156,67 +159,47 @@ def colliding(distinct: DataFrame, bands: int) -> DataFrame:
             key = (np.arange(bands, dtype=np.int64) << 32) | raw.astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(b.column("fp").to_numpy(), bands))], names=["key", "fp"])
 
-    rows = distinct.select("fp", *[f"k{i}" for i in range(pairs)]).mapInArrow(keys, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
-
-    def met(batches):
-        key_on, pivots, small, before, count = None, [], [], None, 0
-
-        def closed():
-            return [(small[i], small[j]) for i in range(len(small)) for j in range(i)] if count <= ALL_PAIRS else []
-
-        for b in batches:
-            key, fp = b.column("key").to_numpy(), b.column("fp").to_numpy()
-            if not len(key):
-                continue
-            first = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-            stop = np.append(first[1:], len(key))
-            out = []
-            for s, e in zip(first, stop):
-                if key[s] != key_on:
-                    if count > 1:
-                        out += closed()
-                    elif e - s == 1 and e != len(key):  # alone in its bucket, as most are
-                        key_on, count, small = key[s], 1, []
-                        continue
-                    key_on, pivots, small, before, count = key[s], [], [], None, 0
-                for v in fp[s:e].tolist():
-                    if count < ALL_PAIRS:
-                        small.append(v)
-                    else:
-                        if count == ALL_PAIRS:  # too many for all pairs: those held so far go like the rest
-                            out += [(p, x) for i, x in enumerate(small) for p in dict.fromkeys([*small[:min(i, PIVOTS)], *small[max(0, i - 1):i]])]
-                            pivots, before = small[:PIVOTS], small[-1]
-                        out += [(p, v) for p in dict.fromkeys([*pivots, before])]
-                        before = v
-                    count += 1
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out], pa.int64()), pa.array([max(p) for p in out], pa.int64())], names=["a", "b"])
-        if count > 1 and (out := closed()):
-            yield pa.RecordBatch.from_arrays([pa.array([min(p) for p in out], pa.int64()), pa.array([max(p) for p in out], pa.int64())], names=["a", "b"])
-
-    return rows.mapInArrow(met, "a long, b long").distinct()
-
-
-def similar(df: DataFrame, places: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """The pairs whose exact Jaccard similarity is ``least`` or more."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
-    at = places.join(wanted, F.col("fp") == F.col("w")).groupBy("fp").agg(F.min(F.struct("doc_id", "th", "nth")).alias("x"))
+    rows = distinct.select("fp", *[f"k{i}" for i in range(pairs)]).mapInArrow(keys, "key long, fp long")
+    # Buckets are counted first (partial sums: a hot one is a row a task). Most have one
+    # paragraph, then two: those need no more than this.
+    met = materialize(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "passages-buckets")
+    two = met.where("n = 2").select("a", "b")
+    some = rows.join(met.where(f"n > 2 and n <= {ALL_PAIRS}").select("key"), "key").groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("fps"))  # ALL_PAIRS at most
+    some = some.select("fps", F.posexplode("fps").alias("i", "b")).where("i > 0").select(F.explode(F.expr("slice(fps, 1, i)")).alias("a"), "b")
+    crowded = rows.join(met.where(F.col("n") > ALL_PAIRS).select("key"), "key", "left_semi").select("fp").distinct()
+    return two.unionByName(some).distinct(), crowded
+
+
+def fetched(df: DataFrame, first: DataFrame, wanted: DataFrame, take, schema: str) -> DataFrame:
+    """``take(paragraphs, numbers)`` (Arrow columns) of the paragraphs ``wanted(w)``, each
+    read from its first place ``first(fp, x)``."""
+    at = first.join(wanted, F.col("fp") == F.col("w"))
     at = at.groupBy(F.col("x.doc_id").alias("d"), F.col("x.th").alias("h")).agg(F.collect_list("x.nth").alias("nths"))
     src = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").where("text is not null")
     src = src.join(at.hint("merge"), (F.col("th") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("text", "nths")
+    names = [x.split()[0] for x in schema.split(",")]
 
-    def sets(batches):
+    def run(batches):
         for b in slices(batches, "text"):
             p = Paragraphs(b.column("text"))
             if not len(p.begin):
                 continue
-            s, seg = p.shingles()
-            seg = np.append(seg, len(s))
             first = np.searchsorted(p.doc, np.arange(b.num_rows))
             own = [first[i] + n for i, x in enumerate(b.column("nths").to_pylist()) for n in x]
-            yield pa.RecordBatch.from_arrays([pa.array(p.fp[own].astype(np.int64)), pa.array([np.unique(s[seg[i]:seg[i + 1]]).tobytes() for i in own], pa.binary())], names=["fp", "s"])
+            yield pa.RecordBatch.from_arrays([pa.array(p.fp[own].astype(np.int64)), take(p, own)], names=names)
 
-    held = materialize(bounded_batches(src).mapInArrow(sets, "fp long, s binary").dropDuplicates(["fp"]), "passages-sets")
+    return bounded_batches(src).mapInArrow(run, schema).dropDuplicates([names[0]])
+
+
+def similar(df: DataFrame, first: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs whose exact Jaccard similarity is ``least`` or more."""
+    def sets(p, own):
+        s, seg = p.shingles()
+        seg = np.append(seg, len(s))
+        return pa.array([np.unique(s[seg[i]:seg[i + 1]]).tobytes() for i in own], pa.binary())
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
+    held = materialize(fetched(df, first, wanted, sets, "fp long, s binary"), "passages-sets")
     both = pairs.join(held.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
 
     def compared(batches):
@@ -231,6 +214,21 @@ def similar(df: DataFrame, places: DataFrame, pairs: DataFrame, least: float) ->
     return both.select("a", "b", "sa", "sb").mapInArrow(compared, "a long, b long")
 
 
+def crowded_links(df: DataFrame, first: DataFrame, crowded: DataFrame, least: float) -> DataFrame:
+    """Links ``a, b`` among the paragraphs ``crowded(fp)`` that connect all whose exact
+    similarity is ``least`` or more."""
+    def texts(p, own):
+        w = p.w
+        return pa.array([w.data[w.start[p.begin[i]]:w.end[p.stop[i] - 1]].tobytes().decode() for i in own])
+
+    rows = materialize(fetched(df, first, crowded.withColumnRenamed("fp", "w"), texts, "doc_id long, text string"), "passages-crowded")
+    every, classes, links = op7_jaccard.jaccard_links(rows, SHINGLE, math.ceil(100 * least))
+    of = classes.select("cid", "doc")
+    same = every.join(classes, ["f1", "f2"]).select(F.col("doc").alias("a"), every["doc_id"].alias("b"))
+    near = links.join(of.select(F.col("cid").alias("a"), F.col("doc").alias("da")), "a").join(of.select(F.col("cid").alias("b"), F.col("doc").alias("db")), "b")
+    return same.unionByName(near.select(F.col("da").alias("a"), F.col("db").alias("b"))).where("a <> b")
+
+
 def repeated(df: DataFrame, least: float = SIMILAR, recall: float = RECALL, run_words: int = RUN_WORDS) -> DataFrame:
     """The later copies in ``df(doc_id, text)``, a row per run: ``doc_id, th``
     (``xxhash64`` of the text), ``start, length`` (code points), ``words,
@@ -238,9 +236,13 @@ def repeated(df: DataFrame, least: float = SIMILAR, recall: float = RECALL, run_
     bands, rows = tune(least, recall)
     every = materialize(paragraphs(df, bands, rows), "passages-paragraphs")
     keys = [c for c in every.columns if c[0] == "k"]
-    distinct = materialize(every.groupBy("fp").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in keys]), "passages-distinct")
-    pairs = materialize(colliding(distinct, bands), "passages-pairs")
-    links = materialize(similar(df, every.select("doc_id", "th", "nth", "fp"), pairs, least), "passages-links")
+    distinct = materialize(every.groupBy("fp").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "nth")).alias("x"), *[F.first(c).alias(c) for c in keys]), "passages-distinct")
+    pairs, crowded = (materialize(x, "passages-pairs") for x in colliding(distinct, bands))
+    first = distinct.select("fp", "x")
+    links = similar(df, first, pairs, least)
+    if not crowded.isEmpty():
+        links = links.unionByName(crowded_links(df, first, crowded, least))
+    links = materialize(links, "passages-links")
     near = components(links)
     known = distinct.where("n > 1").select(F.col("fp").alias("id")).join(near, "id", "full_outer")
     known = materialize(known.select(F.col("id").alias("of"), F.coalesce("component", "id").alias("cluster")), "passages-clusters")

@@ -131,11 +131,53 @@ def test_op8_bands_reach_the_recall():
     assert 1 - (1 - 0.5 ** op8_passages.tune(0.5, 0.9)[1]) ** op8_passages.tune(0.5, 0.9)[0] >= 0.9
 
 
-def test_op8_large_buckets_are_connected(spark):
+def test_op8_pairs_of_small_buckets_and_crowded_ones(spark):
     two = lambda a, b: a << 32 | b  # noqa: E731  a long holds the keys of two bands
-    rows = [(i, two(6, 5), two(8, 7)) for i in range(300)] + [(1000, two(9, 9), two(9, 9)), (1001, two(10, 9), two(11, 10))]
-    pairs = op8_passages.colliding(spark.createDataFrame(rows, "fp long, k0 long, k1 long"), 4).collect()
-    assert set(find([(r.a, r.b) for r in pairs]).values()) == {0, 1000} and len(pairs) < 300 * 20
+    rows = [(i, two(6, 5), two(8, 7)) for i in range(300)] + [(1000, two(9, 9), two(9, 9)), (1001, two(10, 9), two(11, 10)), (1002, two(20, 19), two(21, 9))]
+    pairs, crowded = op8_passages.colliding(spark.createDataFrame(rows, "fp long, k0 long, k1 long"), 4)
+    assert {(r.a, r.b) for r in pairs.collect()} == {(1000, 1001), (1000, 1002)}
+    assert {r.fp for r in crowded.collect()} == set(range(300))
+
+
+def shingle_set(text):
+    w = W.findall(text.lower())
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+@pytest.mark.parametrize("most", [64, 2, 1])
+def test_op8_links_every_similar_pair_of_a_crowded_bucket(spark, monkeypatch, most):
+    """150 pairs of near copies that all share one frame of words."""
+    monkeypatch.setattr(op8_passages, "ALL_PAIRS", most)
+    rnd = random.Random(5)
+    frame = prose(rnd, 40).replace(".", "").split(" ")
+    texts = []
+    for k in range(150):
+        own = [f"w{k}x{j}" for j in range(26)]
+        a = [*frame, *own]
+        b = [*a[:-1], "changed"]
+        texts += [" ".join(a), " ".join(b)]
+    texts = texts[0::2] + texts[1::2]
+    df = documents(spark, texts)
+    got = {r.doc_id: r.first_doc_id for r in op8_passages.repeated(df.select("doc_id", "text")).collect()}
+    edges = [(i, j) for i in range(300) for j in range(i) if len(x := shingle_set(texts[i]) & shingle_set(texts[j])) >= 0.8 * len(shingle_set(texts[i]) | shingle_set(texts[j]))]
+    want = {i: c for i, c in find(edges).items() if i != c}
+    found = sum(got.get(i) == c for i, c in want.items())
+    assert set(got) <= set(want) and len(want) == 150
+    assert found == 150
+
+
+def test_op8_recall_of_similar_paragraphs(spark):
+    """Pairs at a similarity of 0.8 to 0.85, in buckets of their own."""
+    rnd, texts = random.Random(9), []
+    for k in range(300):
+        a = [f"p{k}q{j}" for j in range(54)]
+        b = [*a]
+        b[rnd.randrange(8, 46)] = "other"
+        texts += [" ".join(a), " ".join(b)]
+    df = documents(spark, texts)
+    sims = [len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a) | shingle_set(b)) for a, b in zip(texts[::2], texts[1::2])]
+    assert all(0.8 <= s <= 0.85 for s in sims)
+    assert op8_passages.repeated(df.select("doc_id", "text")).count() >= 0.96 * 300
 
 
 def test_op9_coder_checkpoints_and_checksums():
