@@ -115,7 +115,7 @@ _STAR_CACHE: dict = {}
 
 def star(spark, sf_dir) -> SL.Star:
     """The two-batch star for this session and input (built once, checkpointed)."""
-    k = (id(spark), sf_dir)
+    k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _STAR_CACHE:
         _STAR_CACHE[k] = star_after_two_batches(spark, sf_dir)
     return _STAR_CACHE[k]
@@ -276,6 +276,7 @@ def q9_counts(spark, sf_dir):
 # ------------------------------------------------------ streaming twin (Q2)
 _STREAM_CACHE: dict = {}
 
+RETAINED = dt.datetime(2026, 1, 8, 12)
 ORDER_FIELDS = {"loaded_timestamp": "timestamp_ntz", "tie1": "double", "tie2": "bigint", "tie3": "bigint",
                 "tie4": "double"}
 
@@ -285,7 +286,7 @@ def streamed_star(spark, sf_dir):
     consumed by one availableNow run of the file stream (restart from the
     checkpoint in between); foreachBatch loads the star's
     changed rows. The result must equal the batch load."""
-    k = (id(spark), sf_dir)
+    k = (spark.sparkContext.applicationId, sf_dir)
     if k in _STREAM_CACHE:
         return _STREAM_CACHE[k]
     from ..session import scratch_path
@@ -303,6 +304,7 @@ def streamed_star(spark, sf_dir):
     FS.write_ndjson(recs.where(F.col("loaded_timestamp") >= cut), f"{base}/in/drop2")
     loader.run_available()
     loader.run_available()  # no new files: no batch runs (C7)
+    loader.retain(RETAINED)  # R1 / R5: the first drop's landing rows are past the seven days
     _STREAM_CACHE[k] = loader
     return loader
 
@@ -340,4 +342,4 @@ def c9_stream_log(spark, sf_dir):
 
 def AU_current(loader):
     from ..plans import audit as AU
-    return AU.current_batches(loader.table("batch_log")).where(F.col("status") == AU.SUCCESS)
+    return AU.current_batches(loader.table("batch_log")).where((F.col("status") == AU.SUCCESS) & (F.col("data_source") == AU.LOAD))

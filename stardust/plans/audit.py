@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,7 @@ CONSUMPTION_LOG = T.StructType([
     T.StructField("records_consumed", T.LongType()), T.StructField("created_at", TS)])
 
 IN_PROGRESS, SUCCESS, FAILED = "IN_PROGRESS", "SUCCESS", "FAILED"
+LOAD, ARCHIVAL = "S3_LOAD", "ARCHIVAL"
 
 
 def batch_events(batches: DataFrame) -> DataFrame:
@@ -71,10 +72,11 @@ def archive_and_purge(landing: DataFrame, archive_path: str, kept_path: str, now
     archive, kept = archive_split(landing, now_c, days, ts)
     # Both folders are named by the cutoff and overwritten: a retry writes them again.
     cutoff = (now - dt.timedelta(days=days)).strftime("%Y%m%dT%H%M%S%f")
-    archive.write.mode("overwrite").parquet(f"{archive_path}/cutoff={cutoff}")
+    seen = Observation()
+    archive.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{archive_path}/cutoff={cutoff}")
     kept.write.mode("overwrite").parquet(f"{kept_path}/cutoff={cutoff}")
-    n = archive.sparkSession.read.schema(archive.schema).parquet(f"{archive_path}/cutoff={cutoff}").count()
-    return {"batch_timestamp": now, "data_source": "ARCHIVAL", "record_count": n, "status": SUCCESS,
+    n = seen.get["rows"]
+    return {"batch_timestamp": now, "data_source": ARCHIVAL, "record_count": n, "status": SUCCESS,
             "message": f"Archived {n} records successfully"}
 
 
@@ -105,6 +107,12 @@ def run_row(spark: SparkSession, began: dt.datetime, ended: dt.datetime, counts:
     return row.withColumn("records_per_second", F.coalesce(F.try_divide(F.col("processed_records").cast("double"), F.col("seconds")), F.lit(0.0)))
 
 
+def archival_history(events: DataFrame) -> DataFrame:
+    """Q6: every archive operation that was logged, newest first."""
+    own = events.where(F.col("data_source") == ARCHIVAL).select("batch_id", "batch_timestamp", "data_source", "record_count", "status")
+    return own.orderBy(F.desc("batch_timestamp"))
+
+
 def batches_on(events: DataFrame, day: Column) -> DataFrame:
     """Q6: today's batches (``DATE(batch_timestamp) = day``), newest first."""
     return current_batches(events).where(F.to_date("batch_timestamp") == day).orderBy(F.col("batch_timestamp").desc())

@@ -3,13 +3,14 @@ empty triggers, quarantine of bad lines, failure logging."""
 import datetime as dt
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from stardust.plans import star_load as SL
 from stardust.plans.deltas import DeltaStore
-from stardust.streaming.loader import KEYS, StarStreamLoader
+from stardust.streaming.loader import KEYS, SURROGATES, StarStreamLoader
 from conftest import valid_review
 
 
@@ -73,17 +74,17 @@ SCHEMA = "customer_id string, email string, name string, address string"
 def put(store, rows, load, day=1):
     src = store.spark.createDataFrame(rows, SCHEMA)
     now = F.lit(dt.datetime(2026, 1, day)).cast("timestamp_ntz")
-    return store.upsert("customers", src, lambda cur, top: SL.merge_customers(cur, src, now, top), load, "customer_key")
+    return store.upsert("customers", src, lambda cur, top: SL.merge_customers(cur, src, now, top), load)
 
 
 def test_a_load_writes_only_its_keys_and_replays(spark, tmpdir_fresh):
-    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS)
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES)
     assert put(store, [("C1", "a@", "A", "x"), ("C2", "b@", "B", "y")], 0)
     put(store, [("C3", "c@", "C", "z")], 1)
     put(store, [("C1", "new@", "A", "x")], 2, 2)
     for _ in range(2):                                # replays of a load in the middle
         put(store, [("C3", "c@", "C", "z")], 1)
-    rows = {r.customer_id: r for r in DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS).read("customers").collect()}
+    rows = {r.customer_id: r for r in DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES).read("customers").collect()}
     assert {k: v.customer_key for k, v in rows.items()} == {"C1": 1, "C2": 2, "C3": 3}
     assert rows["C1"].email == "new@" and rows["C1"].created_at == dt.datetime(2026, 1, 1) and rows["C1"].updated_at == dt.datetime(2026, 1, 2)
     assert store.changes("customers").where("load = 2").count() == 1
@@ -91,14 +92,65 @@ def test_a_load_writes_only_its_keys_and_replays(spark, tmpdir_fresh):
 
 
 def test_fold_keeps_the_rows_and_skips_folded_loads(spark, tmpdir_fresh):
-    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS)
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES)
     for b in range(4):
         put(store, [(f"C{b + 1}", "e", "n", "a"), ("C0", f"e{b}", "n", "a")], b)
     before = sorted(tuple(r) for r in store.read("customers").collect())
-    assert store.fold() == 1 and store.epoch() == (1, 3)
+    assert store.fold("customers") == 1 and store.epoch("customers") == (1, 3) and store.epoch("orders") == (0, -1)
     assert sorted(tuple(r) for r in store.read("customers").collect()) == before
     assert not put(store, [("C9", "e", "n", "a")], 3) and put(store, [("C9", "e", "n", "a")], 4)
-    assert store.max_key("customers", "customer_key") == 6
+    assert store.max_key("customers") == 6
+    with pytest.raises(ValueError, match="in its base"):
+        store.feed("customers", 2)
+
+
+def customer(spark, rows):
+    return spark.createDataFrame([(k, f"C{k}", f"{v}@", "n", "a", None, None, True) for k, v in rows], SL.CUSTOMERS)
+
+
+def test_a_lookup_opens_only_the_loads_of_its_keys(spark, tmpdir_fresh):
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES)
+    for b in range(50):
+        store.put("customers", customer(spark, [(b, "a"), (100 + b % 10, f"v{b}")]), b)
+    one = spark.createDataFrame([("C107",)], "customer_id string")
+    opened = {f.split("load=")[1].split("/")[0] for f in store.changes("customers", only=one).inputFiles() if "load=" in f}
+    assert opened == {"7", "17", "27", "37", "47"}
+    assert [r.email for r in store.read("customers", only=one).collect()] == ["v47@"]
+    assert [r.email for r in store.read("customers", before=47, only=one).collect()] == ["v37@"]
+    assert store.read("customers", only=spark.createDataFrame([(None,), ("zz",)], "customer_id string")).count() == 0
+    assert store.max_key("customers") == 109 and store.max_key("customers", before=0) == 0
+    store.fold("customers")
+    plan = store.changes("customers", only=one)._jdf.queryExecution().executedPlan().toString()
+    assert store.state("customers").loads == [] and re.search(r"PartitionFilters: \[[^]]*bucket", plan)
+    assert [r.email for r in store.read("customers", only=one).collect()] == ["v47@"] and store.read("customers").count() == 60
+
+
+def test_the_feed_reads_loads_after_a_number(spark, tmpdir_fresh):
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES)
+    for b, rows in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "a")], [(1, "a"), (2, "c"), (4, "a")]]):
+        store.put("customers", customer(spark, rows), b)
+    got = lambda *a: sorted((r.customer_key, r.action, r.is_update, r.email) for r in store.feed("customers", *a).collect())
+    assert got(1) == [(2, "DELETE", True, "b@"), (2, "INSERT", True, "c@"), (4, "INSERT", False, "a@")]  # 1 is unchanged
+    assert got(0, 1) == [(2, "DELETE", True, "a@"), (2, "INSERT", True, "b@"), (3, "INSERT", False, "a@")]
+    assert got(0) == [(2, "DELETE", True, "a@"), (2, "INSERT", True, "c@"), (3, "INSERT", False, "a@"), (4, "INSERT", False, "a@")]
+    assert got(2) == [] and len(got(-1)) == 4
+
+
+def test_truncate_and_restore_in_place(spark, tmpdir_fresh):
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES)
+    put(store, [("C1", "a@", "A", "x"), ("C2", "b@", "B", "y")], 0)
+    put(store, [("C2", "new@", "B", "y")], 1)
+    rows = lambda: sorted(tuple(r) for r in store.read("customers").collect())
+    before = rows()
+    at = store.truncate("customers")
+    assert rows() == [] and store.read("customers", only=spark.createDataFrame([("C1",)], "customer_id string")).count() == 0
+    assert not put(store, [("C1", "a@", "A", "x")], 1)             # a replayed load stays out
+    put(store, [("C3", "c@", "C", "z")], 2)
+    assert [r[:2] for r in rows()] == [(3, "C3")]                  # no key is given twice
+    store.restore("customers", at)
+    assert rows() == before
+    store.restore("customers", customer(spark, [(9, "q")]))
+    assert [r[0] for r in rows()] == [9] and store.max_key("customers") == 9
 
 
 def test_failed_batch_is_logged_and_raised(spark, tmpdir_fresh):
