@@ -41,9 +41,10 @@ from ..session import materialize
 from ._common import bounded_batches, slices, text_bytes
 
 LIMIT = 4096
-SLICE = 1 << 20        # bytes of text counted at once
-MEMO = 60_000          # distinct pieces that a worker remembers, then it begins anew
-PAIRS = 200_000        # pairs of neighbours that it remembers
+SLICE = 2 << 20        # bytes of text counted at once
+MEMO = 400_000         # distinct pieces that a worker remembers, then it begins anew
+LONG = 64              # bytes of a piece beyond which it is not remembered
+PAIRS = 400_000        # pairs of neighbours that it remembers
 OUT = ("n_bytes", "n_tokens", "prefix")
 BLANK = "▁"
 
@@ -56,54 +57,82 @@ class Prefixes:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         own = [i for i in range(sp.get_piece_size()) if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))]
-        self.score = {sp.id_to_piece(i).replace(BLANK, " "): sp.get_score(i) for i in own}
         if sp.decode(sp.encode("ﬁ  x ")) != "ﬁ  x ":
             raise ValueError("the model changes texts before it encodes them; only models without normalisation are counted")
-        self.longest: dict[str, int] = {}   # characters of the longest token that ends in a character
+        own = {sp.id_to_piece(i).replace(BLANK, " "): sp.get_score(i) for i in own}
+        self.score, self.number, self.tokens = own, {t: n for n, t in enumerate(own, 1)}, ["", *own]
+        sizes: dict[str, set[int]] = {}
         self.joined = np.zeros((256, 256), bool)  # bytes on either side of a place inside a token
-        for t in self.score:
-            self.longest[t[-1]] = max(self.longest.get(t[-1], 1), len(t))
+        for t in own:
+            if len(t) > 2:
+                sizes.setdefault(t[-3:], {1, 2}).add(len(t))
             for a, b in zip(t, t[1:]):
                 self.joined[a.encode()[-1], b.encode()[0]] = True
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # by the last three characters, the lengths of tokens that may end there, longest first
+        self.sizes = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[bytes, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """The tokens of a short text by the merges themselves."""
-        parts = list(text)
+        parts, score = list(text), self.score.get
+        near = [score(a + b) for a, b in zip(parts, parts[1:])]
         while True:
             best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
+            for i, s in enumerate(near):
                 if s is not None and (best is None or s > best):
                     best, at = s, i
             if best is None:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-
-    def follows(self, a: str, b: str) -> bool:
-        """Whether token ``b`` may stand after token ``a`` (none: at the start)."""
-        ok = self.pairs.get((a, b))
+            del near[at]
+            if at < len(near):
+                near[at] = score(parts[at] + parts[at + 1])
+            if at:
+                near[at - 1] = score(parts[at - 1] + parts[at])
+
+    def text_of(self, n: int) -> str:
+        return self.tokens[n] if n >= 0 else chr(-n)
+
+    def follows(self, a: int, b: int) -> bool:
+        """Whether token ``b`` may stand after token ``a`` (0: at the start)."""
+        key = a << 32 | b & 0xFFFFFFFF
+        ok = self.pairs.get(key)
         if ok is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            ok = self.pairs[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+            x, y = self.text_of(a), self.text_of(b)
+            ok = self.pairs[key] = self.merged(x + y) == ([x, y] if x else [y])
         return ok
 
     def counts(self, piece: str) -> list[int]:
         """The number of tokens of every prefix of ``piece``, of no character first."""
-        score, longest = self.score, self.longest
-        count, last = [0], [""]
-        for i, c in enumerate(piece, 1):
-            for n in range(min(i, longest.get(c, 1)), 0, -1):
+        count, last = [0], [0]
+        self.carry_on(piece, count, last)
+        return count
+
+    def carry_on(self, piece: str, count: list[int], last: list[int]) -> None:
+        """Adds to ``count`` and ``last`` (the tokens' numbers) what the prefixes of
+        ``piece`` longer than those in them have."""
+        number, sizes, pairs = self.number.get, self.sizes.get, self.pairs.get
+        for i in range(len(count), len(piece) + 1):
+            for n in sizes(piece[i - 3:i], (2, 1)) if i > 2 else (2, 1):
+                if n > i:
+                    continue
                 t = piece[i - n:i]
-                if (n == 1 or t in score) and self.follows(last[i - n], t):
-                    count.append(count[i - n] + (1 if t in score else len(t.encode())))
-                    last.append(t)
+                b = number(t)
+                if b is None:
+                    if n > 1:
+                        continue
+                    b = -ord(t)
+                a = last[i - n]
+                ok = pairs(a << 32 | b & 0xFFFFFFFF)
+                if self.follows(a, b) if ok is None else ok:
+                    count.append(count[i - n] + (1 if b > 0 else len(t.encode())))
+                    last.append(b)
                     break
             else:
                 raise AssertionError(f"no token ends at character {i} of {piece!r}")
-        return count
 
     def cuts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Where the pieces begin (bytes), and the end."""
@@ -113,17 +142,28 @@ class Prefixes:
             begin[off[off < len(data)]] = True
         return np.append(np.flatnonzero(begin), len(data))
 
-    def steps(self, piece: bytes) -> bytes:
-        """How the count changes with each character of a piece (signed bytes): it
-        falls by less than a token's characters in bytes, so it fits."""
-        got = self.known.get(piece)
-        if got is None:
-            if len(self.known) >= MEMO:
-                self.known.clear()
-            got = np.diff(self.counts(piece.decode())).astype(np.int8).tobytes()
-            if len(piece) <= 64:
-                self.known[piece] = got
-        return got
+    def steps(self, pieces: list[bytes]) -> list[bytes]:
+        """How the count changes with each character of every piece (signed bytes): it
+        falls by less than a token's characters in bytes, so it fits. New pieces are
+        counted in order, each from the prefix it shares with the one before it on."""
+        new = sorted(x.decode() for x in pieces if x not in self.known)
+        if len(self.known) + len(new) > MEMO:
+            self.known.clear()
+            new = sorted(x.decode() for x in pieces)
+        got, before, count, last = {}, "", [0], [0]
+        for piece in new:
+            same = 0
+            for x, y in zip(piece, before):
+                if x != y:
+                    break
+                same += 1
+            del count[same + 1:], last[same + 1:]
+            self.carry_on(piece, count, last)
+            before, key = piece, piece.encode()
+            own = bytes([b - a & 0xFF for a, b in zip(count, count[1:])])
+            (self.known if len(key) <= LONG else got)[key] = own
+        known = self.known
+        return [known.get(x) or got[x] for x in pieces]
 
     def changes(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Of all texts end to end, how the count changes with each character, and
@@ -137,7 +177,7 @@ class Prefixes:
             return np.zeros(0, np.int8), np.zeros(len(off), np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
         coded = pieces.dictionary_encode()
-        pool = [self.steps(x) for x in coded.dictionary.to_pylist()]
+        pool = self.steps(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, pool), np.int64, len(pool))
         flat, begin = np.frombuffer(b"".join(pool), np.int8), np.cumsum(size) - size
         which = coded.indices.to_numpy()
