@@ -92,7 +92,7 @@ class Prefixes:
                 near[at - 1] = score(parts[at - 1] + parts[at])
 
     def text_of(self, n: int) -> str:
-        return self.tokens[n] if n >= 0 else chr(-n)
+        return self.tokens[n] if n >= 0 else chr(~n)
 
     def follows(self, a: int, b: int) -> bool:
         """Whether token ``b`` may stand after token ``a`` (0: at the start)."""
@@ -124,7 +124,7 @@ class Prefixes:
                 if b is None:
                     if n > 1:
                         continue
-                    b = -ord(t)
+                    b = ~ord(t)  # a character outside the vocabulary
                 a = last[i - n]
                 ok = pairs(a << 32 | b & 0xFFFFFFFF)
                 if self.follows(a, b) if ok is None else ok:
