@@ -132,6 +132,15 @@ def o4_sample(spark, sf_dir):
     return O.sample_exact(ids, 25, "review_id", seed=42)
 
 
+@register("o4_half_sample", with_(R) + """
+SELECT review_id FROM (SELECT DISTINCT review_id FROM r) QUALIFY row_number() OVER (ORDER BY sha256(review_id || ':7'), review_id) <= (SELECT count(DISTINCT review_id) // 2 FROM r)
+""")
+def o4_half(spark, sf_dir):
+    """O4 for large n: half of the ids, by the cut of their hash."""
+    ids = review_records(spark, sf_dir).select("review_id").distinct()
+    return O.sample_exact(ids, ids.count() // 2, "review_id", seed=7)
+
+
 @register("u1_union_counts", with_(R, C, V) + """
 SELECT 'raw' AS source, count(*) AS n FROM r
 UNION ALL SELECT 'valid', count(*) FROM v

@@ -256,3 +256,21 @@ def v9_assert(spark, sf_dir):
     ann = RV.validated_reviews(spark, sf_dir)
     valid = ann.where(F.size("errors") == 0)
     return V.assert_valid(valid).select("review_id", "star_rating")
+
+
+def _votes_within(batch):
+    # A user's validator over an Arrow batch: a list of error texts for each row.
+    return [[f"helpful_votes {v} over limit"] if v is not None and v > 45 else [] for v in batch.column("helpful_votes").to_pylist()]
+
+
+@register("x2_batch_validator", with_(R, C) + f"""
+SELECT review_id, {VALID} AND helpful_votes <= 45 AS valid,
+       CASE WHEN helpful_votes > 45 THEN 'helpful_votes ' || CAST(helpful_votes AS VARCHAR) || ' over limit' END AS told FROM c
+""")
+def x2_batch_validator(spark, sf_dir):
+    """A Python rule over Arrow batches beside the column rules; its errors come
+    after theirs."""
+    ann = V.annotate(review_records(spark, sf_dir), v=None)
+    got = V.with_batch_validator(ann, _votes_within, columns=["helpful_votes"], field="helpful_votes", rule="votes")
+    last = F.element_at("errors", -1)
+    return got.select("review_id", (F.size("errors") == 0).alias("valid"), F.when((F.size("errors") > 0) & (last["rule"] == "votes"), last["message"]).alias("told"))

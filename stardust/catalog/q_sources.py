@@ -174,3 +174,28 @@ def s14_s20(spark, sf_dir):
     restored = scratch_path(spark, "s20-restored")
     FS.copy_table(spark.read.parquet(backup), restored)
     return spark.read.parquet(restored)
+
+
+SPANNED = "CASE WHEN star_rating <= 2 THEN replace(review_body, ' ', chr(10)) || ' \"q\", ' ELSE review_body END"
+
+
+@register("s4_multiline_csv", with_(R) + f"""
+SELECT review_id, CAST(star_rating AS VARCHAR) AS star_rating, {SPANNED} AS review_body, product_title FROM r
+""")
+def s4_multiline(spark, sf_dir):
+    """Fields with line ends, quotes and commas, written and read back by ranges of
+    the files."""
+    r = review_records(spark, sf_dir)
+    body = F.when(F.col("star_rating") <= 2, F.concat(F.replace("review_body", F.lit(" "), F.lit("\n")), F.lit(' "q", '))).otherwise(F.col("review_body"))
+    path = scratch_path(spark, "s4-csv")
+    FS.write_csv(r.select("review_id", "star_rating", body.alias("review_body"), "product_title"), path, ["review_id", "star_rating", "review_body", "product_title"])
+    return FS.read_csv(spark, path)
+
+
+@register("s8_json_array", with_(R) + "SELECT review_id, star_rating, review_body, helpful_votes FROM r")
+def s8_array(spark, sf_dir):
+    """The feed as one JSON array over ordered text parts, read back by line."""
+    path = scratch_path(spark, "s8-array")
+    r = review_records(spark, sf_dir).select("review_id", "star_rating", "review_body", "helpful_votes")
+    FS.write_json_array(r, path, [F.col("review_id")])
+    return FS.read_json_array(spark, path, "review_id string, star_rating int, review_body string, helpful_votes int")

@@ -12,9 +12,11 @@ present-but-null value, a column absent from the frame is a missing field).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -222,6 +224,27 @@ def annotate(df: DataFrame, v: str | None = "v", null_is_missing: bool = False,
     return fence(checked, "validation")
 
 
+def with_batch_validator(annotated: DataFrame, validator: Callable[[pa.RecordBatch], pa.Array], out: str = "errors",
+                         columns: list[str] | None = None, field: str = "*", rule: str = "custom") -> DataFrame:
+    """A user's validator over Arrow batches. It gets a record batch of ``columns``
+    (all but the errors by default) and returns a list of error texts for each row
+    (``list<string>``; null or empty: none); these come after the row's errors."""
+    columns = columns or [c for c in annotated.columns if c != out]
+    src = annotated.select(F.struct("*").alias("row"), F.struct(*columns).alias("seen"))
+    schema = T.StructType([src.schema["row"], T.StructField("told", T.ArrayType(T.StringType()))])
+
+    def run(batches):
+        for b in batches:
+            seen = b.column("seen")
+            told = validator(pa.RecordBatch.from_arrays([seen.field(c) for c in columns], names=columns))
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(told, pa.list_(pa.string())) if not isinstance(told, pa.Array) else told.cast(pa.list_(pa.string()))],
+                                             names=["row", "told"])
+
+    got = src.mapInArrow(run, schema)
+    more = F.transform(F.coalesce("told", F.array().cast("array<string>")), lambda m: F.struct(F.lit(field).alias("field"), F.lit(rule).alias("rule"), m.alias("message")))
+    return got.select(*[F.concat(F.col(f"row.{out}"), more).alias(out) if c == out else F.col(f"row.`{c}`").alias(c) for c in annotated.columns])
+
+
 def split(annotated: DataFrame, errors: str = "errors") -> tuple[DataFrame, DataFrame]:
     """V7: (valid, invalid) over one annotated frame. Persist the annotated frame
     (or write both from one ``foreachBatch``) when both sides are consumed."""

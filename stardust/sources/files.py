@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import text as X
+from . import csv_records
 
 
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -33,14 +34,39 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists", keep_nul
 
 def read_csv(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> DataFrame:
     """CSV with a header, every column text (no inference); empty cells read as
-    ''. Quoted fields may span lines, so a file is one task; ``multi_line=False``
-    splits large files whose fields don't."""
+    ''. Quoted fields may span lines; UTF-8 files are read by many tasks each all the
+    same (``csv_records``), those of another encoding by one a file. ``multi_line=False``
+    is for files whose fields span no lines."""
+    if multi_line and encoding.lower().replace("_", "-") in ("utf-8", "utf8", "utf-8-sig"):
+        return csv_records.read(spark, path)
     df = (spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
           .option("multiLine", multi_line).option("inferSchema", False)
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
 
 
+def write_json_array(df: DataFrame, path: str, order: list[Column], mode: str = "errorifexists") -> int:
+    """The rows in a total ``order`` as one JSON array over text parts: the parts' lines,
+    part after part, are the array; each element has its line, ``[`` or ``,`` before it,
+    and the last line is ``]``. No row holds more than one element. Returns the number
+    of elements."""
+    from ..operators.keys import dense_index
+
+    rows = dense_index(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("__json"), *[c.alias(f"__o{i}") for i, c in enumerate(order)]),
+                       [F.col(f"__o{i}") for i in range(len(order))], "__seq")
+    n = rows.count()
+    lines = rows.select("__seq", F.concat(F.when(F.col("__seq") == 0, "[").otherwise(","), F.col("__json")).alias("value"))
+    end = df.sparkSession.createDataFrame([(n, "]" if n else "[]")], "__seq long, value string")
+    lines.unionByName(end).orderBy("__seq").select("value").write.mode(mode).text(path)
+    return n
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The elements of ``write_json_array``'s parts, each line by itself."""
+    lines = spark.read.text(path).where(~F.col("value").isin("]", "[]"))
+    return lines.select(F.from_json(F.substr("value", F.lit(2)), schema).alias("r")).select("r.*")
+
+
 def to_csv_frame(df: DataFrame, fieldnames: tuple[str, ...] | list[str] | None = None) -> DataFrame:
     """S7 projection: the chosen columns in order (default 9 review columns);
     extra columns are dropped, missing columns are blank, all values text."""
