@@ -39,6 +39,12 @@ def test_stages_on_edges_and_planted_cases(spark, edge, empty):
     mixed = C.mixed(spark, docs, "")
     n = Counter(r.doc_id for r in mixed.collect())
     assert mixed.columns == docs.columns and max(n.values()) <= 2
+    again = C.mixed(spark, documents(spark, ["w " * 100] * 60 + ["v " * 50] * 2, ids=[1] * 60 + [2, 3], sources=["a"] * 60 + ["b"] * 2, langs=["en"] * 62), "")
+    taken = Counter()
+    for r in again.collect():
+        taken[r.source] += len(W.findall(r.text))
+    size = {"a": 6000, "b": 100}  # 150% of 6100 words: b stops at 200, a takes the rest
+    assert abs(taken["a"] - (1.5 * sum(size.values()) - 200)) <= 200 and abs(taken["b"] - 200) <= 100
     for stage in (f for _, f in C.STAGES):
         assert stage(spark, empty, "").count() == 0
     for stage in (f for _, f in C.STAGES[:-1]):
