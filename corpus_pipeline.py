@@ -9,7 +9,7 @@ stage needs beside them are joined or dropped inside it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stardust.llm import op3_lines, op4_langid, op5_mix, op7_jaccard, op10_pack
@@ -32,7 +32,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deletes later copies of repeated line runs; a document that loses every line
-    with a word goes. ``n_chars`` follows the text."""
+    with a word goes. ``n_chars`` follows the text. A null text stays as it is, rows of
+    equal id and text share their result, the first of equal runs (by ``doc_id``, null
+    first, then text hash, then line) stays; an empty table gives an empty result."""
     got = op3_lines.dedup_lines(docs, drop_emptied=True).select(*docs.columns)
     return got.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else got
 
@@ -56,19 +58,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it; its copies are rows."""
-    size, copies = free_name(docs, "words"), free_name(docs, "copies")
-    src = docs.withColumn(size, word_count(F.col("text")))
-    thin = src.select("doc_id", "source", F.xxhash64("text").alias("th"), F.col(size).alias("words"))
-    got = op5_mix.mix(thin, F.col("words"), F.struct("doc_id", "th"))
-    got = got.groupBy("doc_id", "source", "th").agg(F.max("copies").alias("n")).select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("th").alias("h"), "n")
-    on = docs["doc_id"].eqNullSafe(got["d"]) & docs["source"].eqNullSafe(got["s"]) & F.xxhash64(docs["text"]).eqNullSafe(got["h"])
-    taken = docs.join(got.hint("merge"), on).where(got["n"] > 0).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), got["n"].cast("int"))).alias(copies))
-    return taken.select(*docs.columns)
+    """Every document as often as the mix takes it; its copies are rows.
+
+    Rows that are equal in all columns are one group with the sum of their copies, so
+    repeated rows take no more than their share. A null or wordless text has size 0 and
+    ties of size are ordered by ``doc_id`` (null first), then by hash; a null source is a
+    source of its own; an empty table gives an empty result."""
+    k1, k2, size, copies = (free_name(docs, n) for n in ("k1", "k2", "words", "copies"))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    src = docs.withColumn(k1, F.xxhash64(*every)).withColumn(k2, F.xxhash64(F.lit(1), *every))
+    thin = src.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), "doc_id", "source", word_count(F.col("text")).alias("words"))
+    got = op5_mix.mix(thin, F.col("words"), F.struct("doc_id", "k1", "k2"))
+    got = got.groupBy("k1", "k2").agg(F.sum("copies").alias("n")).withColumnsRenamed({"k1": "of1", "k2": "of2"})
+    rows = src.join(got.hint("merge"), (F.col(k1) == F.col("of1")) & (F.col(k2) == F.col("of2"))).where("n > 0")
+    one = rows.withColumn(size, F.row_number().over(Window.partitionBy(k1, k2).orderBy(k1))).where(F.col(size) == 1)
+    return one.select(*every, F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias(copies)).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 2048 tokens."""
+    """The pieces of all documents with their places in sequences of 2048 tokens. A null
+    text is an empty one (a piece of the end id alone); rows that repeat are pieces of
+    their own; pieces of equal size go where the packing meets them first; an empty table
+    gives an empty result."""
     import public_tokenizers
 
     rows = op10_pack.pieces(docs.select("doc_id", "source", "lang", "text"), public_tokenizers.path("word_bpe_49k.json"))
