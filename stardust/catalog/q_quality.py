@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import predicates as P
 from ..operators import dedup as D
 from ..operators import validate as V
+from ..operators.fence import fence
 from ..plans import reviews as RV
+from ..sources import ndjson as N
 from ..sources.tables import arrival_order, read_table, review_records
 from ._registry import register
 from ._sql import ARRIVAL, ARRIVAL_DESC, C, R, REVIEW_COLS, VALID, V as VCTE, pyrepr, with_
@@ -274,3 +276,37 @@ def x2_batch_validator(spark, sf_dir):
     got = V.with_batch_validator(ann, _votes_within, columns=["helpful_votes"], field="helpful_votes", rule="votes")
     last = F.element_at("errors", -1)
     return got.select("review_id", (F.size("errors") == 0).alias("valid"), F.when((F.size("errors") > 0) & (last["rule"] == "votes"), last["message"]).alias("told"))
+
+
+HARD = {  # what a record of each kind has in place of a field's value, and what the rules say of it
+    1: ("", "Missing fields: ['review_body', 'star_rating']"),
+    2: (',"review_date":"1998-1-5"', "review_date must be YYYY-MM-DD, got '1998-1-5'"),
+    3: (',"star_rating":5.0', "star_rating must be int 1-5, got 5"),
+    4: (',"star_rating":"5"', "star_rating must be int 1-5, got '5'"),
+    5: (',"star_rating":true', "star_rating must be int 1-5, got True"),
+    6: (',"verified_purchase":null', "verified_purchase must be one of ['N', 'Y'], got None"),
+    7: (',"product_title":17', "product_title must be a non-empty string, got 17"),
+    8: (',"review_date":null', "review_date must be YYYY-MM-DD, got None"),
+}
+_HARD_SQL = " ".join(f"WHEN {k} THEN '{told}'" for k, (_, told) in ((k, (a, b.replace("'", "''"))) for k, (a, b) in HARD.items()))
+
+
+@register("v1_v4_hard_feed", with_(R) + f"""
+SELECT review_id, m, CASE m {_HARD_SQL} ELSE '' END AS told
+FROM (SELECT review_id, CAST((order_id + CAST(split_part(review_id, '-', 2) AS INTEGER)) % 9 AS INTEGER) AS m FROM r)
+""")
+def v1_v4_hard_feed(spark, sf_dir):
+    """V1, V3, V4 on raw JSON lines with missing fields, bad and null dates, ratings 5.0,
+    "5" and true, a null flag and a number for a title, by the record's number."""
+    r = review_records(spark, sf_dir)
+    m = ((F.col("order_id") + F.substring_index("review_id", "-", -1).cast("int")) % 9).cast("int")
+    left_out = {"product_title": (7,), "review_body": (1,), "review_date": (2, 8), "star_rating": (1, 3, 4, 5), "verified_purchase": (6,)}
+    plain = [F.when(~m.isin(*left_out[c]), F.col(c)).alias(c) if c in left_out else F.col(c) for c in REVIEW_COLS if c != "helpful_votes"]
+    obj = F.to_json(F.struct(*plain))  # null fields are left out
+    extra = F.element_at(F.create_map(*[F.lit(x) for k, (text, _) in HARD.items() for x in (k, text)]), m)
+    lines = r.select(F.concat(F.left(obj, F.length(obj) - 1), F.coalesce(extra, F.lit("")), F.lit("}")).alias("value"), m.alias("m"))
+    ann = RV.clean_validate(N.parse_lines(fence(lines, "feed")), keep=["v", "m"])
+    field = F.create_map(*[F.lit(x) for k, f in ((2, "review_date"), (3, "star_rating"), (4, "star_rating"), (5, "star_rating"), (6, "verified_purchase"),
+                                                 (7, "product_title"), (8, "review_date")) for x in (k, f)])
+    own = F.filter("errors", lambda e: (e["rule"] == "missing") | (e["field"] == F.element_at(field, F.col("m"))))
+    return ann.select("review_id", "m", F.array_join(F.transform(own, lambda e: e["message"]), "; ").alias("told"))

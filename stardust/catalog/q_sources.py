@@ -199,3 +199,39 @@ def s8_array(spark, sf_dir):
     r = review_records(spark, sf_dir).select("review_id", "star_rating", "review_body", "helpful_votes")
     FS.write_json_array(r, path, [F.col("review_id")])
     return FS.read_json_array(spark, path, "review_id string, star_rating int, review_body string, helpful_votes int")
+
+
+@register("q10_filter_export_csv", with_(R, C, V) + """
+SELECT review_id, review_date, customer_id, product_id, product_title, product_category, CAST(star_rating AS VARCHAR) AS star_rating,
+       review_body, verified_purchase FROM v WHERE star_rating >= 4 AND CAST(review_date AS DATE) >= DATE '1997-01-01'
+""")
+def q10_filter_export(spark, sf_dir):
+    """Q10, filter and export: clean -> validate -> 4 stars or more from a date on -> CSV,
+    read back."""
+    path = scratch_path(spark, "q10-csv")
+    FS.write_csv(P.apply_filters(RV.valid_reviews(spark, sf_dir), P.star_between(4, 5), P.date_between(start="1997-01-01")), path)
+    return FS.read_csv(spark, path)
+
+
+@register("q10_statistics_recipe", with_(R, C, V) + """
+, top AS (SELECT product_category, count(*) AS n FROM v GROUP BY 1 ORDER BY n DESC, product_category LIMIT 3)
+SELECT 'pass rate' AS what, '' AS name, round((SELECT count(*) FROM v) / (SELECT count(*) FROM c), 6) AS value
+UNION ALL SELECT 'average rating', '', round(avg(star_rating), 6) FROM v
+UNION ALL SELECT 'top category', product_category, CAST(n AS DOUBLE) FROM top
+UNION ALL SELECT 'rating', CAST(s.i AS VARCHAR), CAST((SELECT count(*) FROM v WHERE star_rating = s.i) AS DOUBLE) FROM range(1, 6) s(i)
+""")
+def q10_statistics(spark, sf_dir):
+    """Q10, statistics: pass rate, average rating, top three categories, histogram, as
+    rows; the validated records are written once and read by each."""
+    from ..operators import ordering as O
+    from ..operators import validate as VA
+    from ..session import materialize
+    ann = materialize(RV.validated_reviews(spark, sf_dir).select("product_category", "star_rating", "errors"), "q10-valid")
+    valid = ann.where(F.size("errors") == 0)
+    row = lambda df, what, name, value: df.select(F.lit(what).alias("what"), name.alias("name"), value.cast("double").alias("value"))
+    hist = A.rating_histogram(valid)
+    return O.union_all(
+        row(VA.report_totals(ann), "pass rate", F.lit(""), F.round("pass_rate", 6)),
+        row(valid.agg(F.avg("star_rating").alias("a")), "average rating", F.lit(""), F.round("a", 6)),
+        row(A.top_counts(valid, "product_category", 3), "top category", F.col("product_category"), F.col("n")),
+        row(hist, "rating", F.col("star_rating").cast("string"), F.col("n")))

@@ -10,7 +10,6 @@ kept rows second, then logs the count.
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -96,15 +95,20 @@ def failures_per_day(events: DataFrame, now: Column, hours: int | None = None) -
         F.count(F.lit(1)).alias("run_count"), F.count_if(F.col("status") == FAILED).alias("failures"))
 
 
+# Fixed names: the columns of a run's metrics.
+RUN_ID, START, END, DURATION, RATE, ERRORS = "run_id", "start_time", "end_time", "duration_s", "throughput_rps", "validation_errors"
+
+
 def run_row(spark: SparkSession, began: dt.datetime, ended: dt.datetime, counts: dict[str, int], errors: dict[str, int]) -> DataFrame:
     """A run as one row, its id, span and rate worked out in SQL from
-    the two instants and the observed counts. ``F.to_json(F.struct("*"))`` of it is
-    the JSON report; ``sources.files.append`` adds it to a metrics table."""
-    row = spark.range(1).select(F.lit(began).alias("began"), F.lit(ended).alias("ended"), *[F.lit(n).cast("bigint").alias(k) for k, n in counts.items()],
-                                F.from_json(F.lit(json.dumps(errors)), "map<string,bigint>").alias("errors_by_field"))
-    span = F.greatest(F.unix_micros("ended") - F.unix_micros("began"), F.lit(0)) / 1e6
-    row = row.select(F.left(F.sha2(F.to_json(F.struct("*")), 256), F.lit(12)).alias("run"), "*", span.alias("seconds"))
-    return row.withColumn("records_per_second", F.coalesce(F.try_divide(F.col("processed_records").cast("double"), F.col("seconds")), F.lit(0.0)))
+    the two instants and the observed counts (``validation_errors``: a count by rule
+    key). ``F.to_json(F.struct("*"))`` of it is the JSON report;
+    ``sources.files.append`` adds it to a metrics table."""
+    told = F.create_map(*[F.lit(x) for k, n in errors.items() for x in (k, n)]).cast("map<string,bigint>")
+    row = spark.range(1).select(F.lit(began).alias(START), F.lit(ended).alias(END), *[F.lit(n).cast("bigint").alias(k) for k, n in counts.items()], told.alias(ERRORS))
+    span = F.greatest(F.unix_micros(END) - F.unix_micros(START), F.lit(0)) / 1e6
+    row = row.select(F.left(F.sha2(F.to_json(F.struct("*")), 256), F.lit(12)).alias(RUN_ID), "*", span.alias(DURATION))
+    return row.withColumn(RATE, F.coalesce(F.try_divide(F.col("processed_records").cast("double"), F.col(DURATION)), F.lit(0.0)))
 
 
 def archival_history(events: DataFrame) -> DataFrame:

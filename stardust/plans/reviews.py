@@ -3,8 +3,6 @@ typed + cleaned + validated records (S1 -> E3 -> F2 -> V6)."""
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +70,5 @@ def validated_file(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
         lines = lines.where(~blank).orderBy("_file", "_block", "_at").limit(limit)
     ann = clean_validate(N.parse_lines(lines.select("value", "_file"), N.PERMISSIVE, source=F.col("_file")).drop("_file"))
     of = ann.schema["errors"].dataType
-    what = {f.name: "JSON parse error" if f.name == "message" else "*" for f in of.elementType.fields}
-    broken = F.from_json(F.lit(json.dumps([what])), of)
+    broken = F.array(F.struct(*[F.lit("JSON parse error" if f.name == "message" else "*").alias(f.name) for f in of.elementType.fields]))
     return ann.withColumn("errors", F.when(F.col("is_corrupt"), broken).otherwise(F.col("errors"))).drop("v")

@@ -104,9 +104,9 @@ def test_review_run_metrics(spark, tmpdir_fresh):
     r = m.first()
     assert (r.total_records, r.valid_records, r.invalid_records) == (12, 10, 2)
     assert (r.processed_records, r.failed_records, r.batches_processed) == (4, 0, 1)
-    assert r.errors_by_field == {"Missing fields": 1, "star_rating": 1}
+    assert r.validation_errors == {"Missing fields": 1, "star_rating": 1}
     assert spark.read.json(f"{tmpdir_fresh}/out").count() == 4
-    assert len(r.run) == 12 and r.seconds > 0 and r.records_per_second > 0
+    assert len(r.run_id) == 12 and r.duration_s > 0 and r.throughput_rps > 0
     for _ in range(2):
         run_reviews(spark, src, f"{tmpdir_fresh}/out{_}", metrics=f"{tmpdir_fresh}/metrics")
     assert spark.read.parquet(f"{tmpdir_fresh}/metrics").count() == 2
