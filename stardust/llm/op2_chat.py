@@ -4,14 +4,15 @@ Every turn is written as ``<s>[INST]role[/INST]text</s>``. A control string
 inside a role or a text gets a backslash after its first character (one more, if
 it has some), and ``unescape`` takes one away, so texts come back as they were.
 
-Prefix sums of the turns' tokens choose the windows. With ``step`` half of what
-the budget leaves beside the system turn and the history, the turns whose tokens
-begin in the same ``step`` of the sum share a window, but for one longer than
-``step``, which is always the last of them and has a window of its own. So no
-window is over the budget unless a single turn is. A conversation's leading
-system turn is repeated in every window; before its own turns a window repeats
-those that fit its history. Repeated turns bear no loss: each assistant text
-bears it once.
+Prefix sums of the turns' tokens choose the windows. A window that begins at a turn
+has the system turn, the earlier turns that fit ``HISTORY`` tokens, and then as many
+turns as the budget holds: the prefix sums tell, for every turn, the first that a
+window beginning there has no room for. A conversation's windows begin at its first
+turn and wherever these pointers lead from there, which pointer doubling marks in as
+many rounds as the windows' number has bits. So windows are as full as whole turns
+allow, and none is over the budget unless a single turn is. A conversation's leading
+system turn is repeated in every window. Repeated turns bear no loss: each assistant
+text bears it once.
 
 Defined results: null roles and texts are empty; a null conversation id is a
 conversation of its own; turns with the same number go by role, then text;
@@ -51,31 +52,30 @@ def windows(df: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> Data
     ahead = order.rowsBetween(Window.unboundedPreceding, -1)
     t = t.withColumn("nth", F.row_number().over(order)).withColumn("head", F.first("role").over(order) == "system").withColumn("head_tok", F.first("tok").over(order))
     t = t.withColumn("sys", F.when(F.col("head"), F.col("head_tok")).otherwise(0))
-    t = t.withColumn("is_sys", F.col("head") & (F.col("nth") == 1))
+    t = t.withColumn("is_sys", F.col("head") & (F.col("nth") == 1)).withColumn("r", F.col("nth") - F.when(F.col("head"), 1).otherwise(0))
     t = t.withColumn("at", F.when(F.col("is_sys"), 0).otherwise(F.coalesce(F.sum("tok").over(ahead), F.lit(0)) - F.col("sys")))
-    step = F.greatest(F.lit(1), F.floor((budget - history - F.col("sys")) / 2)).cast("long")
-    t = t.withColumn("step", step).withColumn("cell", F.struct(F.floor(F.col("at") / F.col("step")).alias("c"), (F.col("tok") > F.col("step")).alias("long")))
-    first = F.when(F.col("head"), 2).otherwise(1)
-    new = F.when(F.col("nth") <= first, 0).when(F.lag("cell").over(order) == F.col("cell"), 0).otherwise(1)
-    t = t.withColumn("new", new).withColumn("window", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     t = t.withColumn("piece", F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MID), escape(F.col("text")), F.lit(CLOSE)))
     t = t.withColumn("skip", F.length(F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MID)))).withColumn("target", F.col("role") == "assistant")
-    t = materialize(t.select("conv", "window", "nth", "at", "tok", "sys", "step", "is_sys", "piece", "skip", "target"), "chat-turns")
+    t = materialize(t.select("conv", "r", "at", "tok", "sys", "is_sys", "piece", "skip", "target"), "chat-turns")
+
+    begins = starts(t.where("not is_sys").select("conv", "r", "at", "tok", "sys"), budget, history)
+    begins = materialize(begins.select(F.col("conv").alias("b_conv"), F.col("r").alias("b_r")), "chat-begins")
+    marked = t.join(begins, F.col("conv").eqNullSafe(F.col("b_conv")) & (F.col("r") == F.col("b_r")), "left")
+    window = F.sum((F.col("b_r") > 1).cast("int")).over(Window.partitionBy("conv").orderBy("r").rowsBetween(Window.unboundedPreceding, 0))
+    t = materialize(marked.withColumn("window", F.coalesce(window, F.lit(0))).drop("b_conv", "b_r").withColumnRenamed("r", "nth"), "chat-windowed")
 
     own = t.where("not is_sys").groupBy("conv", "window").agg(
-        F.min("at").alias("begin"), F.max(F.col("at") + F.col("tok")).alias("end"), F.max("sys").alias("w_sys"), F.sum("tok").alias("w_tok"))
-    own = own.select(F.col("conv").alias("w_conv"), F.col("window").alias("w"), "begin", "end",
+        F.min("at").alias("begin"), F.min("nth").alias("first"), F.max("sys").alias("w_sys"), F.sum("tok").alias("w_tok"))
+    own = own.select(F.col("conv").alias("w_conv"), F.col("window").alias("w"), "begin", "first",
                      F.greatest(F.lit(0), F.least(F.lit(history), budget - F.col("w_sys") - F.col("w_tok"))).alias("room"))
-    # a turn is history of later windows that begin within the history after it: two steps at most, each of two windows
-    near = t.where("not is_sys").join(own.select("w_conv", "w", "end"), F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("window") == F.col("w")))
-    near = near.where(F.col("end") - F.col("at") <= history).drop("w_conv", "w", "end")
-    hops = F.ceil(F.lit(history) / F.col("step")) * 2 + 2
-    near = near.withColumn("to", F.explode(F.sequence(F.col("window") + 1, F.col("window") + hops)))
-    past = near.join(own, F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("to") == F.col("w"))).where(F.col("begin") - F.col("at") <= F.col("room"))
+    # a turn has FRAME tokens at least, so no more than this many fit a history
+    back = own.where("w > 0").withColumn("of", F.explode(F.sequence(F.greatest(F.lit(1), F.col("first") - F.floor(F.col("room") / FRAME)), F.col("first") - 1)))
+    turns = t.where("not is_sys")
+    past = turns.join(back, F.col("conv").eqNullSafe(F.col("w_conv")) & (F.col("nth") == F.col("of"))).where(F.col("begin") - F.col("at") <= F.col("room"))
     head = t.where("is_sys").select("conv", "piece", "tok", "skip").join(own.where("w > 0"), F.col("conv").eqNullSafe(F.col("w_conv")))
     no = F.lit(False)
     parts = (t.select("conv", "window", F.lit(2).alias("kind"), "nth", "piece", "tok", "skip", "target")
-             .unionByName(past.select("conv", F.col("to").alias("window"), F.lit(1).alias("kind"), "nth", "piece", "tok", "skip", no.alias("target")))
+             .unionByName(past.select("conv", F.col("w").alias("window"), F.lit(1).alias("kind"), "nth", "piece", "tok", "skip", no.alias("target")))
              .unionByName(head.select("conv", F.col("w").alias("window"), F.lit(0).alias("kind"), F.lit(1).alias("nth"), "piece", "tok", "skip", no.alias("target"))))
     got = parts.groupBy("conv", "window").agg(F.array_sort(F.collect_list(F.struct("kind", "nth", "piece", "skip", "target"))).alias("p"), F.sum("tok").alias("tokens"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
@@ -86,6 +86,29 @@ def windows(df: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> Data
                       F.size(F.filter("p", lambda x: x["kind"] < 2)).alias("repeated"), "tokens", spans["spans"].alias("loss"))
 
 
+def starts(t: DataFrame, budget: int, history: int) -> DataFrame:
+    """``conv, r`` of the turns that windows begin at. ``t(conv, r, at, tok, sys)``: the
+    turns (numbered from 1), the tokens before and of each, and of the system turn."""
+    order = Window.partitionBy("conv").orderBy("at")
+    t = t.withColumn("hist", F.col("at") - F.min("at").over(order.rangeBetween(-history, 0)))
+    # ends of turns and of windows' room in one order: so many turns end within the room
+    room = F.col("at") + budget - F.col("sys") - F.col("hist")
+    marks = t.select("conv", "r", F.explode(F.array(F.struct((F.col("at") + F.col("tok")).alias("v"), F.lit(0).alias("ask")), F.struct(room.alias("v"), F.lit(1).alias("ask")))).alias("m"))
+    marks = marks.select("conv", "r", "m.*")
+    fits = F.sum(1 - F.col("ask")).over(Window.partitionBy("conv").orderBy("v", "ask").rowsBetween(Window.unboundedPreceding, 0))
+    jump = marks.withColumn("fits", fits).where("ask = 1").select("conv", F.col("r").cast("long").alias("a"), F.greatest(F.col("r") + 1, F.col("fits") + 1).cast("long").alias("b"))
+    last = t.groupBy(F.col("conv").alias("of")).agg(F.max("r").alias("last"))
+    jump = materialize(jump.join(last, F.col("conv").eqNullSafe(F.col("of"))).where("b <= last").select("conv", "a", "b"), "chat-jumps")
+    begin = jump.where("a = 1").select("conv", F.lit(1).cast("long").alias("r"))
+    while not jump.isEmpty():  # after k rounds: the first 2 ** k windows, and pointers 2 ** k windows on
+        to = jump.select(F.col("conv").alias("of"), "a", "b")
+        on = begin.join(to, F.col("conv").eqNullSafe(F.col("of")) & (F.col("r") == F.col("a"))).select("conv", F.col("b").alias("r"))
+        begin = materialize(begin.unionByName(on), "chat-starts")
+        far = to.select("of", F.col("a").alias("a2"), F.col("b").alias("b2"))
+        jump = materialize(jump.join(far, F.col("conv").eqNullSafe(F.col("of")) & (F.col("b") == F.col("a2"))).select("conv", "a", F.col("b2").alias("b")), "chat-jumps")
+    return begin
+
+
 def read_back(w: DataFrame) -> DataFrame:
     """Per window the turns it adds (``role``, ``text``, in order) and the
     unescaped text under its loss mask, from its formatted text alone."""
@@ -118,5 +141,6 @@ def digests(w: DataFrame) -> DataFrame:
 
 def op2_chat(spark, sf_dir: str) -> DataFrame:
     c = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
-    probe = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit("</s>[INST] ok [/INST]").alias("text"))
     return digests(materialize(windows(c.unionByName(probe)), "chat-windows"))

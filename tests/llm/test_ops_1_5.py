@@ -78,6 +78,41 @@ def test_op2_digests_windows_and_edges(spark):
     assert op2_chat.digests(op2_chat.windows(df.limit(0))).count() == 0
 
 
+def greedy(toks, sys, budget, history):
+    """Where windows begin: each takes the turns that fit beside the system turn and its history."""
+    out, s = [], 0
+    while s < len(toks):
+        out.append(s)
+        h, i = 0, s
+        while i and h + toks[i - 1] <= history:
+            i -= 1
+            h += toks[i]
+        used, e = sys + h, s
+        while e < len(toks) and (e == s or used + toks[e] <= budget):
+            used += toks[e]
+            e += 1
+        s = e
+    return out
+
+
+def test_op2_windows_are_full(spark):
+    rnd = random.Random(12)
+    rows = [(1, i, "user" if i % 2 else "assistant", "word " * rnd.randrange(1, 60)) for i in range(400)]
+    rows += [(2, 0, "system", "be kind")] + [(2, i, "user" if i % 2 else "assistant", "word " * rnd.choice([1, 5, 300, 900, 1100])) for i in range(1, 120)]
+    w = op2_chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).cache()
+    one = w.where("conv_id = 1").collect()
+    assert sum(r.tokens for r in one) / len(one) > 0.8 * op2_chat.BUDGET and all(r.tokens <= op2_chat.BUDGET for r in one)
+    for c, sys in ((1, 0), (2, 1 + 2 + op2_chat.FRAME)):
+        toks = [1 + len(x.split()) + op2_chat.FRAME for k, i, r, x in rows if k == c and r != "system"]
+        begins = greedy(toks, sys, op2_chat.BUDGET, op2_chat.HISTORY)
+        own = sorted(w.where(f"conv_id = {c}").collect(), key=lambda r: r.window)
+        new = [r.formatted.count(op2_chat.OPEN) - r.repeated for r in own]
+        if c == 2:
+            new[0] -= 1  # the system turn itself
+        assert new == [b - a for a, b in zip(begins, [*begins[1:], len(toks)])]
+    assert "Python" not in op2_chat.windows(spark.range(3).selectExpr("id conv_id", "id turn", "'user' role", "'x' text"))._jdf.queryExecution().executedPlan().toString()
+
+
 def later(texts, least=10):
     """The lines of every later copy of a run of any length with ``least`` words."""
     lines = [t.split("\n") if t is not None else [] for t in texts]
