@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions import jsonpath as J
 from ..functions import predicates as P
 from ..operators import dedup as D
 from ..operators import validate as V
@@ -291,6 +292,31 @@ HARD = {  # what a record of each kind has in place of a field's value, and what
 _HARD_SQL = " ".join(f"WHEN {k} THEN '{told}'" for k, (_, told) in ((k, (a, b.replace("'", "''"))) for k, (a, b) in HARD.items()))
 
 
+def hard_lines(r):
+    """Review lines (``value``) of the kinds of ``HARD``, with ``m``."""
+    m = ((F.col("order_id") + F.substring_index("review_id", "-", -1).cast("int")) % 9).cast("int")
+    left_out = {"product_title": (7,), "review_body": (1,), "review_date": (2, 8), "star_rating": (1, 3, 4, 5), "verified_purchase": (6,)}
+    plain = [F.when(~m.isin(*left_out[c]), F.col(c)).alias(c) if c in left_out else F.col(c) for c in REVIEW_COLS if c != "helpful_votes"]
+    obj = F.to_json(F.struct(*plain))  # null fields are left out
+    extra = F.element_at(F.create_map(*[F.lit(x) for k, (text, _) in HARD.items() for x in (k, text)]), m)
+    return fence(r.select(F.concat(F.left(obj, F.length(obj) - 1), F.coalesce(extra, F.lit("")), F.lit("}")).alias("value"), m.alias("m")), "feed")
+
+
+@register("e6_kinds", with_(R) + """
+SELECT rating, flag, count(*) AS n FROM (
+  SELECT CASE m WHEN 1 THEN 'missing' WHEN 3 THEN 'DECIMAL(1,0)' WHEN 4 THEN 'STRING' WHEN 5 THEN 'BOOLEAN' ELSE 'BIGINT' END AS rating,
+         CASE m WHEN 6 THEN 'VOID' ELSE 'STRING' END AS flag
+  FROM (SELECT (order_id + CAST(split_part(review_id, '-', 2) AS INTEGER)) % 9 AS m FROM r WHERE star_rating IS NOT NULL AND verified_purchase IS NOT NULL))
+GROUP BY ALL
+""")
+def e6_kinds(spark, sf_dir):
+    """The JSON kinds of the rating and the flag over the hard feed."""
+    r = review_records(spark, sf_dir).where("star_rating is not null and verified_purchase is not null")
+    v = N.parse_lines(hard_lines(r))
+    kinds = v.select(F.coalesce(J.kind("v", "star_rating"), F.lit("missing")).alias("rating"), J.kind("v", "verified_purchase").alias("flag"))
+    return kinds.groupBy("rating", "flag").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("v1_v4_hard_feed", with_(R) + f"""
 SELECT review_id, m, CASE m {_HARD_SQL} ELSE '' END AS told
 FROM (SELECT review_id, CAST((order_id + CAST(split_part(review_id, '-', 2) AS INTEGER)) % 9 AS INTEGER) AS m FROM r)
@@ -298,14 +324,8 @@ FROM (SELECT review_id, CAST((order_id + CAST(split_part(review_id, '-', 2) AS I
 def v1_v4_hard_feed(spark, sf_dir):
     """V1, V3, V4 on raw JSON lines with missing fields, bad and null dates, ratings 5.0,
     "5" and true, a null flag and a number for a title, by the record's number."""
-    r = review_records(spark, sf_dir)
-    m = ((F.col("order_id") + F.substring_index("review_id", "-", -1).cast("int")) % 9).cast("int")
-    left_out = {"product_title": (7,), "review_body": (1,), "review_date": (2, 8), "star_rating": (1, 3, 4, 5), "verified_purchase": (6,)}
-    plain = [F.when(~m.isin(*left_out[c]), F.col(c)).alias(c) if c in left_out else F.col(c) for c in REVIEW_COLS if c != "helpful_votes"]
-    obj = F.to_json(F.struct(*plain))  # null fields are left out
-    extra = F.element_at(F.create_map(*[F.lit(x) for k, (text, _) in HARD.items() for x in (k, text)]), m)
-    lines = r.select(F.concat(F.left(obj, F.length(obj) - 1), F.coalesce(extra, F.lit("")), F.lit("}")).alias("value"), m.alias("m"))
-    ann = RV.clean_validate(N.parse_lines(fence(lines, "feed")), keep=["v", "m"])
+    lines = hard_lines(review_records(spark, sf_dir))
+    ann = RV.clean_validate(N.parse_lines(lines), keep=["v", "m"])
     field = F.create_map(*[F.lit(x) for k, f in ((2, "review_date"), (3, "star_rating"), (4, "star_rating"), (5, "star_rating"), (6, "verified_purchase"),
                                                  (7, "product_title"), (8, "review_date")) for x in (k, f)])
     own = F.filter("errors", lambda e: (e["rule"] == "missing") | (e["field"] == F.element_at(field, F.col("m"))))

@@ -235,3 +235,36 @@ def q10_statistics(spark, sf_dir):
         row(valid.agg(F.avg("star_rating").alias("a")), "average rating", F.lit(""), F.round("a", 6)),
         row(A.top_counts(valid, "product_category", 3), "top category", F.col("product_category"), F.col("n")),
         row(hist, "rating", F.col("star_rating").cast("string"), F.col("n")))
+
+
+@register("s9_summary_export", with_(R) + """
+SELECT 'total' AS what, '' AS name, CAST(count(*) AS DOUBLE) AS value FROM r
+UNION ALL SELECT 'average', '', round(avg(star_rating), 4) FROM r
+UNION ALL SELECT 'verified', '', CAST(count(*) FILTER (WHERE verified_purchase = 'Y') AS DOUBLE) FROM r
+UNION ALL SELECT 'category', product_category, CAST(count(*) AS DOUBLE) FROM r WHERE product_category IS NOT NULL AND product_category <> '' GROUP BY product_category
+""")
+def s9_summary(spark, sf_dir):
+    """The summary's files, read back."""
+    from ..operators import ordering as O
+    path = scratch_path(spark, "s9-summary")
+    FS.export_summary(review_records(spark, sf_dir), path)
+    t = spark.read.schema("total long, avg_star_rating double, verified_count long").json(f"{path}/totals")
+    c = spark.read.schema("product_category string, n long").json(f"{path}/categories")
+    row = lambda df, what, name, value: df.select(F.lit(what).alias("what"), name.alias("name"), value.cast("double").alias("value"))
+    none = F.lit("")
+    return O.union_all(row(t, "total", none, F.col("total")), row(t, "average", none, F.col("avg_star_rating")), row(t, "verified", none, F.col("verified_count")),
+                       row(c, "category", F.col("product_category"), F.col("n")))
+
+
+@register("f12_file_digests", """
+SELECT c_mktsegment AS segment, sha256(string_agg(c_name || chr(10), '' ORDER BY c_name)) AS digest FROM customer GROUP BY c_mktsegment
+""")
+def f12_digests(spark, sf_dir):
+    """the digests of files, one a market segment, that Spark wrote."""
+    from ..functions import text as X
+    from ..sources.tables import read_table
+    path = scratch_path(spark, "f12-files")
+    names = read_table(spark, sf_dir, "customer").select("c_mktsegment", F.col("c_name").alias("value"))
+    names.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "value").write.partitionBy("c_mktsegment").text(path)
+    got = X.file_digests(spark, f"{path}/*/*.txt")
+    return got.select(F.url_decode(F.regexp_extract("path", "c_mktsegment=([^/]*)", 1)).alias("segment"), F.col(got.columns[-1]).alias("digest"))
