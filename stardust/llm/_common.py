@@ -3,6 +3,8 @@ sums in a total order, connected components, and vectorised word hashing."""
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -130,11 +132,11 @@ BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``; from now on a batch that goes to Python holds about 8 MB, not 10,000 rows
+    """``df``; from now on a batch that goes to Python holds about 4 MB, not 10,000 rows
     of any length (unless the session names another bound)."""
     conf = df.sparkSession.conf
     if conf.get(BATCH_BYTES, None) is None:
-        conf.set(BATCH_BYTES, str(8 << 20))
+        conf.set(BATCH_BYTES, str(4 << 20))
     return df
 
 
@@ -142,15 +144,27 @@ def slices(batches, column: str, most_bytes: int = 1 << 20, inside: str | None =
     """Arrow batches cut so that ``column`` (or the field of that name of the struct
     ``inside``) holds about ``most_bytes`` of text in each (a single longer text
     stays whole), and ``most_rows`` rows."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        off = text_bytes(b.column(column) if inside is None else b.column(inside).field(column))[1]
-        at = 0
-        while at < b.num_rows:
-            to = min(at + most_rows, max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1))
-            yield b.slice(at, to - at)
-            at = to
+    try:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            off = text_bytes(b.column(column) if inside is None else b.column(inside).field(column))[1]
+            at = 0
+            while at < b.num_rows:
+                to = min(at + most_rows, max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1))
+                yield b.slice(at, to - at)
+                at = to
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Returns the memory that a task's arrays had to the system: a worker serves many
+    tasks, of other stages too."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+    if trim:
+        trim(0)
 
 
 class Words:
