@@ -26,19 +26,57 @@ def test_op6_against_brute_force(spark, monkeypatch):
     rows += [(400 + i, rows[i][1], 1) for i in range(60)]  # ties
     rows += [(None, [1.0] * 6, 1), (700, None, 1), (750, [1.0, None] * 3, 1), (800, [math.nan] + [1.0] * 5, 1), (850, [math.inf] + [0.0] * 5, 1), (900, [1.0, 2.0], 1),
              (950, [], 1), (901, [3.0, -2.0], 1), (50, rows[3][1], 1), (1000, [1e13, -1e13, 1e13], 1), (1001, [1e13, -1e13, 1e13], 1)]
-    df = spark.createDataFrame(rows, "vec_id long, vector array<double>, rank int").drop("rank")
+    rows += [(1100 + i, rows[7][1], 1) for i in range(150)]  # a very common vector
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>, rank int").withColumn("row", F.lit("x")).withColumn("score", F.lit(1)).withColumn("shard", F.lit(None))
     v = [(i, r[0], [math.floor(256 * x) for x in r[1]]) for i, r in enumerate(rows) if r[0] is not None and r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
     want = []
     for n, q, x in v:
         if q % 50 == 0:
             c = sorted((-max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(x, y)))), i, m) for m, i, y in v if m != n and len(y) == len(x))[:5]
             want += [(q, k + 1, i, -s) for k, (s, i, _) in enumerate(c)]
-    for shard, block in ((64, 3), (10_000, 1000)):
+    for shard, block, bounds in ((64, 3, {}), (10_000, 1000, {}), (8, 2, {"SAMPLE": 20, "LEVELS": 1, "ROUNDS": 2, "PAGE": 3, "PART": 1})):
+        for name, most in bounds.items():
+            monkeypatch.setattr(op6_kdtree, name, most)
         got = op6_kdtree.nearest(df, F.col("vec_id") % 50 == 0, shard=shard, block=block).collect()
         assert sorted(map(tuple, got)) == sorted(want)
     assert op6_kdtree.nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_op6_queries_go_to_few_shards(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(16, 8)) * 4
+    rows = [(i, [float(x) for x in centres[i % 16] + rng.normal(size=8) * 0.2]) for i in range(3200)]
+    kept = {}
+    write = op6_kdtree.materialize
+    monkeypatch.setattr(op6_kdtree, "materialize", lambda df, label: kept.setdefault(label, write(df, label)))
+    got = op6_kdtree.nearest(spark.createDataFrame(rows, "vec_id long, vector array<double>"), F.col("vec_id") % 50 == 0, shard=100)
+    x = np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    want = []
+    for q in range(0, 3200, 50):
+        s = x @ x[q]
+        best = sorted((-int(s[i]), i) for i in range(3200) if i != q)[:5]
+        want += [(q, n + 1, i, -t) for n, (t, i) in enumerate(best)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    shards = kept["kd-trees"].count()
+    sent = sum(len(op6_kdtree.pickle.loads(r.raw)["row"]) for r in kept["kd-reached"].collect())
+    assert shards >= 20 and 2 * sent < 64 * shards
+
+
+def test_op6_planes_and_bounds():
+    rng = np.random.default_rng(9)
+    x = rng.integers(-3, 4, size=(500, 3))
+    side, at = op6_kdtree.planes(x, 3)
+    node = np.ones(500, int)
+    for _ in range(3):
+        node = 2 * node + (x[np.arange(500), np.array(side)[node]] >= np.array(at)[node])
+    assert len(np.unique(node)) == 8 and np.bincount(node).max() < 150
+    assert op6_kdtree.planes(x[:1].repeat(9, 0), 2) == ([0] * 4, [op6_kdtree.BIG] * 4)
+    q, lo, hi = rng.integers(-9, 9, (20, 3)), np.array([x[:9].min(0)]), np.array([x[:9].max(0)])
+    top = [int(v) for v in np.maximum(q * lo, q * hi).sum(1)]
+    assert op6_kdtree.reaches(q, top, lo, hi).all() and not op6_kdtree.reaches(q, [t + 1 for t in top], lo, hi).any()
+    assert op6_kdtree.reaches(q, [None] * 20, lo, hi).all()
+
+
 def jaccard_classes(texts, k, percent):
     sets = []
     for t in texts:
