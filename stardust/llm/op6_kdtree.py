@@ -49,7 +49,7 @@ ROUNDS = 4          # 64 ** 4 cells at most; larger cells are dealt by hash
 PAGE = 1_024        # boxes of shards that a block of queries is held against at once
 SPREAD = 16         # tasks that share the blocks held against a page
 PART = 64           # blocks of queries that a task takes to one tree
-LEAF = 64
+LEAF = 256
 TOP = 5
 BIG = 2**63 - 1
 
@@ -67,13 +67,14 @@ def matrix(rows) -> np.ndarray:
     return x
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> bool:
-    most = lambda m: int(max(m.max(), -m.min())) if m.size else 0
-    return max(a.shape[-1], 1) * most(a) * most(b) < 2**62
+def largest(*parts: np.ndarray) -> int:
+    """The largest size of a component."""
+    return max((int(max(v.max(), -v.min())) for v in parts if v.size), default=0)
 
 
 def build(points: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> dict:
-    """The tree: points in leaf order and, per node, box, children and range."""
+    """The tree: points in leaf order and, per node, box, children and range. Numbers are
+    doubles where their sums of products are exact as such."""
     order = np.arange(len(points))
     lo, hi, kids, span = [], [], [], []
 
@@ -93,16 +94,22 @@ def build(points: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> dict:
         return me
 
     grow(0, len(points))
-    return {"x": points[order], "id": ids[order], "row": rows[order], "lo": np.array(lo), "hi": np.array(hi), "kids": np.array(kids), "span": np.array(span)}
+    kind = np.float64 if max(points.shape[1], 1) * largest(points) ** 2 < 2**53 else np.int64
+    return {"x": points[order].astype(kind), "id": ids[order], "row": rows[order], "lo": np.array(lo, kind), "hi": np.array(hi, kind),
+            "kids": np.array(kids), "span": np.array(span)}
 
 
 def search(tree: dict, q: np.ndarray, row: int, k: int, least: int | None) -> list[tuple[int, int, int]]:
     """The up to ``k`` best ``(score, id, row)`` of a tree for one query, none below
     ``least`` (a k-th score that is already known)."""
-    if not exact(tree["x"], q):
-        x, lo, hi, q = (v.astype(object) for v in (tree["x"], tree["lo"], tree["hi"], q))
+    x, lo, hi = tree["x"], tree["lo"], tree["hi"]
+    most = max(len(q), 1) * largest(lo[0], hi[0]) * largest(q)
+    if x.dtype == np.float64 and most < 2**53:
+        q = q.astype(np.float64)
     else:
-        x, lo, hi = tree["x"], tree["lo"], tree["hi"]
+        x, lo, hi = (v.astype(np.int64) for v in (x, lo, hi))
+        if most >= 2**62:
+            x, lo, hi, q = (v.astype(object) for v in (x, lo, hi, q))
     bound = np.maximum(lo * q, hi * q).sum(1)
     best: list[tuple[int, int, int]] = []  # a heap: worst first (lowest score, then largest id)
     heap = [(-bound[0], 0)]
@@ -272,7 +279,7 @@ def nearest(df: DataFrame, query: Column, k: int = TOP, shard: int = SHARD, bloc
 
     def tree(key, pdf):
         t = build(matrix(pdf["x"]), pdf["vec_id"].to_numpy(), pdf["row"].to_numpy())
-        return pd.DataFrame([(*key, pickle.dumps(t), t["lo"][0].tolist(), t["hi"][0].tolist())], columns=["dim", "shard", "raw", "lo", "hi"])
+        return pd.DataFrame([(*key, pickle.dumps(t), t["lo"][0].astype(np.int64).tolist(), t["hi"][0].astype(np.int64).tolist())], columns=["dim", "shard", "raw", "lo", "hi"])
 
     trees = v.where("not is_query").select("dim", "shard", "vec_id", "row", "x").groupBy("dim", "shard")
     trees = materialize(trees.applyInPandas(tree, "dim int, shard long, raw binary, lo array<long>, hi array<long>"), "kd-trees")
