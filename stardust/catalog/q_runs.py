@@ -149,11 +149,11 @@ def c8_stream_run(spark, sf_dir):
     fields = ["review_id", "review_date", "customer_id", "product_id", "product_title", "product_category",
               "star_rating", "review_body", "helpful_votes", "verified_purchase"]
     cut = F.lit("1998-07-01").cast("timestamp_ntz")
-    rs = ReviewStream(spark, f"{base}/in/*/*.json", f"{base}/out", f"{base}/ckpt",
+    rs = ReviewStream(spark, f"{base}/in/*/*.json.gz", f"{base}/out", f"{base}/ckpt",
                       filters=[P.star_between(4, 5), P.verified(True)], quarantine_dir=f"{base}/bad")
-    FS.write_ndjson(r.where(F.col("loaded_timestamp") < cut).select(*fields), f"{base}/in/drop1")
+    FS.write_ndjson(r.where(F.col("loaded_timestamp") < cut).select(*fields), f"{base}/in/drop1", compression="gzip")
     rs.run_available()
-    FS.write_ndjson(r.where(F.col("loaded_timestamp") >= cut).select(*fields), f"{base}/in/drop2")
+    FS.write_ndjson(r.where(F.col("loaded_timestamp") >= cut).select(*fields), f"{base}/in/drop2", compression="gzip")
     rs.run_available()
     out = spark.read.schema("review_id string, review_date string, star_rating int, verified_purchase string") \
         .json(f"{base}/out/*")
