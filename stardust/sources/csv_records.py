@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 RECORD, OPEN, INSIDE, CLOSE = 0, 1, 2, 3  # a whole record; the begin, middle and end of one that spans ranges
 
 
@@ -77,9 +79,11 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     odd = lines.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     odd = odd.select(F.col("file").alias("f"), F.col("block").alias("b"), (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1).alias("inside"))
-    told = lines.join(odd, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select("file", "block", "at", "inside", "value")
-    told = told.repartition("file", "block").sortWithinPartitions("file", "block", "at")
-    cut = told.mapInArrow(_cut, "file string, block long, nth long, kind int, text string")
+    # ``odd`` is a row a range, so it goes to the lines: a range stays in the task that read it.
+    told = lines.join(F.broadcast(odd), (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select("file", "block", "at", "inside", "value")
+    told = told.sortWithinPartitions("file", "block", "at")
+    # Written once: whole records, fragments and the header's search all read it.
+    cut = materialize(told.mapInArrow(_cut, "file string, block long, nth long, kind int, text string"), "csv-pieces")
     whole = cut.where(F.col("kind") == RECORD).select("file", "block", "nth", "text")
     # Fragments: two a range at most. An opening one names the record, those after it belong to it.
     part = cut.where(F.col("kind") != RECORD)
@@ -96,7 +100,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     and absent cells are ''."""
     rows = records(spark, path)
     first = rows.groupBy("file").agg(F.min(F.struct("block", "nth")).alias("head"))
-    rows = rows.join(first.withColumnRenamed("file", "of"), F.col("file") == F.col("of"))
+    rows = rows.join(F.broadcast(first.withColumnRenamed("file", "of")), F.col("file") == F.col("of"))
     head = F.struct("block", "nth").eqNullSafe(F.col("head"))
     line = rows.where(head).orderBy("file").select("text").first()  # one record
     if line is None:
