@@ -59,6 +59,42 @@ def test_a_load_parses_once_and_is_not_cached(spark, tmpdir_fresh, monkeypatch):
     assert ld.table("json_data").columns == ["load", "mydata", "loaded_timestamp", "source_file"] and ld.table("json_data").count() == 2
 
 
+def staged_rows(spark):
+    rows = [("R1", 1, "C1", "P1", 1), ("R1", 1, "C2", "P2", 2), ("R1", 1, None, "P2", 3), ("R2", 1, "C2", None, 4), ("R3", 2, "C2", "P1", 5)]
+    rec = F.to_json(F.struct("review_id", "order_id", "customer_id", "product_id", F.lit(3).alias("star_rating")))
+    return spark.createDataFrame(rows, "review_id string, order_id long, customer_id string, product_id string, at int").select(F.parse_json(rec).alias("mydata"), "at")
+
+
+def test_a_batch_is_reduced_and_looked_up_once(spark):
+    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")
+    star = SL.load_batch(SL.empty_star(spark), staged_rows(spark), now, ["at"])
+    star = SL.load_batch(star, staged_rows(spark), now, ["at"])
+    assert not any("Window" in plan(df) for df in star.tables().values())  # each source is written, not computed for each join of the merge
+    names = {r.customer_key: r.customer_id for r in star.customers.collect()}
+    assert sorted((r.review_id, names[r.customer_key], r.star_rating) for r in star.reviews.collect()) == [("R1", "C2", 3), ("R3", "C2", 3)]
+    assert sorted((r.order_id, names[r.customer_key], r.quantity) for r in star.orders.collect()) == [(1, "C2", 1), (2, "C2", 1)]
+
+
+def test_batch_sources_equal_the_general_ones(spark):
+    st = SL.typed_staging(staged_rows(spark), ["at"])
+    c = spark.createDataFrame([("C1", 1), ("C2", 2)], "customer_id string, customer_key long")
+    p = spark.createDataFrame([("P1", 1), ("P2", 2)], "product_id string, product_key long")
+    for got, want in ((SL.batch_reviews, SL.reviews_source), (SL.batch_orders, SL.orders_source)):
+        g, w = got(st, c, p, ["at"]), want(st, c, p, ["at"])
+        assert g.columns == w.columns and sorted(map(str, g.collect())) == sorted(map(str, w.collect())) and g.count() == 2
+
+
+def test_a_load_looks_up_one_row_per_review_and_order(spark, tmpdir_fresh, monkeypatch):
+    seen, keys = [], SL._keys
+    monkeypatch.setattr(SL, "_keys", lambda st, *a: (seen.append(st.columns), keys(st, *a))[1])
+    more = dict(order_id=1, quantity=2, email="e", name="n", address="a", price=1.5)
+    lines_frame(spark, [valid_review(**more), valid_review(**more)]).coalesce(1).write.text(f"{tmpdir_fresh}/in")
+    ld = StarStreamLoader(spark, f"{tmpdir_fresh}/in", root=f"{tmpdir_fresh}/star", clock=lambda b: dt.datetime(2026, 1, 1))
+    ld.run_available()
+    assert ld.table("reviews").count() == 1 and ld.table("orders").count() == 1 and ld.table("quarantine_reviews").isEmpty()
+    assert seen and not any(c == "f0_pos" or c.startswith("__o_") for cols in seen for c in cols)
+
+
 def test_records_read_in_one_walk_equal_those_by_path(spark):
     docs = ['[{"customer_id": "C1", "product_id": "P1", "review_id": "R1", "order_id": 1, "star_rating": "4"}, 5, null]',
             '{"customer_id": "C1", "product_id": "P1", "review_id": "R2", "order_id": 1, "quantity": "x"}', "7"]
