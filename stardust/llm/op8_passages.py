@@ -164,9 +164,12 @@ def colliding(distinct: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
     # paragraph, then two: those need no more than this.
     met = materialize(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "passages-buckets")
     two = met.where("n = 2").select("a", "b")
-    some = rows.join(met.where(f"n > 2 and n <= {ALL_PAIRS}").select("key"), "key").groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("fps"))  # ALL_PAIRS at most
+    # The larger buckets' paragraphs are picked once, for both kinds: picking them deals all keys.
+    more = rows.join(met.where("n > 2").select("key", "n"), "key")
+    more = materialize(more.select("key", "fp", (F.col("n") > ALL_PAIRS).alias("crowd")), "passages-larger")
+    some = more.where("not crowd").groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("fps"))  # ALL_PAIRS at most
     some = some.select("fps", F.posexplode("fps").alias("i", "b")).where("i > 0").select(F.explode(F.expr("slice(fps, 1, i)")).alias("a"), "b")
-    crowded = rows.join(met.where(F.col("n") > ALL_PAIRS).select("key"), "key", "left_semi").select("fp").distinct()
+    crowded = more.where("crowd").select("fp").distinct()
     return two.unionByName(some).distinct(), crowded
 
 

@@ -182,6 +182,14 @@ def shingle_set(text):
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
+def test_op8_deals_the_keys_of_larger_buckets_once(spark):
+    rows = [(i, 7 if i < 70 else 8 if i < 75 else i, 0) for i in range(90)]
+    pairs, crowded = op8_passages.colliding(spark.createDataFrame(rows, "fp long, k0 long, k1 long"), 1)
+    for df in (pairs, crowded):  # both read what was picked, and do not cut the keys again
+        assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() == 10 and crowded.count() == 70
+
+
 @pytest.mark.parametrize("most", [64, 2, 1])
 def test_op8_links_every_similar_pair_of_a_crowded_bucket(spark, monkeypatch, most):
     """150 pairs of near copies that all share one frame of words."""
