@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from stardust.catalog import QUERIES
 from stardust.operators import keys as K
 from stardust.operators import upsert as U
+from stardust.operators import validate as V
+from stardust.sources import ndjson as N
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +60,20 @@ def test_dense_index_joins_its_offsets(spark):
     assert "map(" not in out._jdf.queryExecution().executedPlan().toString()
     rows = sorted((r.k, r.n) for r in out.collect())
     assert [n for _, n in rows] == list(range(3_000))
+
+
+def test_strict_parse_runs_once(spark):
+    # The strict filter stays above the parse.
+    lines = spark.range(3).select(F.concat(F.lit('{"a": '), F.col("id").cast("string"), F.lit("}")).alias("value"))
+    parsed = N.parse_lines(lines)
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("parseJson") == 1
+    assert parsed.count() == 3
+
+
+def test_failed_rules_are_tested_once(spark):
+    # The error texts read the outcomes of the tests, which run below them.
+    df = spark.createDataFrame([("R1", 9), ("R2", 3)], "review_id string, star_rating int")
+    rules = [V.Rule("star_rating", "range", ~F.col("star_rating").between(1, 5), F.lit("bad rating"))]
+    ann = V.with_errors(df, rules, "errors")
+    assert "__bad_0" in ann._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.review_id: [e.message for e in r.errors] for r in ann.collect()} == {"R1": ["bad rating"], "R2": []}
