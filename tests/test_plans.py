@@ -7,6 +7,7 @@ from stardust.catalog import QUERIES
 from stardust.operators import keys as K
 from stardust.operators import upsert as U
 from stardust.operators import validate as V
+from stardust.plans import star_load as SL
 from stardust.sources import ndjson as N
 
 SF = "/root/testdata/sf0.001"
@@ -77,3 +78,15 @@ def test_failed_rules_are_tested_once(spark):
     ann = V.with_errors(df, rules, "errors")
     assert "__bad_0" in ann._jdf.queryExecution().optimizedPlan().toString()
     assert {r.review_id: [e.message for e in r.errors] for r in ann.collect()} == {"R1": ["bad rating"], "R2": []}
+
+
+def test_first_load_of_a_table_joins_nothing(spark):
+    src = spark.createDataFrame([("C1", "e", "n", "a"), ("C2", "e", "n", "a")], "customer_id string, email string, name string, address string")
+    now = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    star = SL.empty_star(spark)
+    got = SL.merge_customers(star.customers, src, now)
+    assert [(r.customer_key, r.customer_id, r.name) for r in got.orderBy("customer_id").collect()] == [(1, "C1", "n"), (2, "C2", "n")]
+    facts = spark.createDataFrame([("R1", 1, 2), ("R2", 5, 0)], "review_id string, star_rating int, helpful_votes int")
+    rows = SL.merge_reviews(star.reviews, facts, now)
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.review_id for r in rows.collect()) == ["R1", "R2"]
