@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ._common import _BLANK, text_bytes
+from ._common import _BASE, _BLANK, mix, text_bytes
 
 
 @lru_cache(maxsize=2)
@@ -54,7 +54,7 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(begin), len(data))
 
 
-MEMO_BYTES = 16 << 20  # of pieces and their ids that a worker keeps, the first it meets
+MEMO_BYTES = 32 << 20  # of pieces and their ids that a worker keeps, the first it meets
 SLICE = 2 << 20        # bytes of text encoded at once
 SEPARATOR = "<|endoftext|>"  # an added token of both vocabularies: texts are encoded apart on either side of it
 JOINED = 64
@@ -77,35 +77,69 @@ def _encode(path: str, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat[flat != mark], np.diff(stop, prepend=-1) - 1
 
 
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first bytes of a word of eight
+
+
+def keys(pieces: pa.LargeBinaryArray) -> np.ndarray:
+    """64 bits of each piece: its first and last eight bytes and its length, mixed."""
+    off = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset:pieces.offset + len(pieces) + 1]
+    data = np.append(np.frombuffer(pieces.buffers()[2], np.uint8)[off[0]:off[-1]], np.zeros(8, np.uint8))
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # the eight bytes from each place on
+    begin, size = off[:-1] - off[0], np.diff(off)
+    some = np.minimum(size, 8)
+    return mix(mix(words[begin] & _KEEP[some]) + (words[begin + size - some] & _KEEP[some]) * _BASE + size.astype(np.uint64))
+
+
 class Encoder:
     """Encodes Arrow string arrays."""
 
     def __init__(self, path: str):
         self.path = path
         self.known = pa.array([], pa.large_binary())
-        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # in the order of the keys
+        self.ids, self.begin, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _find(self, uniq: pa.Array, key: np.ndarray) -> np.ndarray:
+        """Where each piece is in what is known, or -1: the first of its key, if it is the piece."""
+        at = np.full(len(uniq), -1, np.int64)
+        if len(self.keys):
+            order = np.argsort(key)
+            i = np.empty(len(key), np.int64)
+            i[order] = np.searchsorted(self.keys, key[order])
+            i = np.minimum(i, len(self.keys) - 1)
+            hit = np.flatnonzero(self.keys[i] == key)
+            own = self.place[i[hit]]
+            same = pc.equal(uniq.take(pa.array(hit)), self.known.take(pa.array(own))).to_numpy(zero_copy_only=False)
+            at[hit[same]] = own[same]
+        return at
 
     def _pieces(self, uniq: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A pool of ids, and for each piece where its ids begin there and how many they are."""
-        at = pc.index_in(uniq, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        key = keys(uniq)
+        at = self._find(uniq, key)
         new = np.flatnonzero(at < 0)
-        ids, sizes = self.ids, self.sizes
+        ids, begin, sizes = self.ids, self.begin, self.sizes
         if len(new):
             fresh = uniq.take(pa.array(new))
-            texts = [x.decode("utf-8") for x in fresh.to_pylist()]
+            texts = fresh.cast(pa.large_string()).to_pylist()
             odd = np.fromiter(("<|" in x for x in texts), bool, len(texts))
             parts = []
             for group in (np.flatnonzero(~odd), np.flatnonzero(odd)):
                 if len(group):
                     parts.append((group, *_encode(self.path, [texts[i] for i in group])))
             order = np.concatenate([p[0] for p in parts])
-            ids = np.concatenate([ids, *[p[1] for p in parts]])
-            at[new[order]] = len(sizes) + np.arange(len(order))
-            sizes = np.concatenate([sizes, *[p[2] for p in parts]])
-            if self.known.nbytes + fresh.nbytes + ids.nbytes + sizes.nbytes <= MEMO_BYTES:
+            more = np.concatenate([p[2] for p in parts])
+            place = len(sizes) + np.arange(len(order))
+            at[new[order]] = place
+            begin = np.concatenate([begin, len(ids) + np.cumsum(more) - more])
+            ids, sizes = np.concatenate([ids, *[p[1] for p in parts]]), np.concatenate([sizes, more])
+            if self.known.nbytes + fresh.nbytes + ids.nbytes + 32 * len(sizes) <= MEMO_BYTES:
                 self.known = pa.concat_arrays([self.known, fresh.take(pa.array(order))])
-                self.ids, self.sizes = ids, sizes
-        begin = np.cumsum(sizes) - sizes
+                self.ids, self.begin, self.sizes = ids, begin, sizes
+                key = key[new[order]]
+                by = np.argsort(key)
+                to = np.searchsorted(self.keys, key[by])
+                self.keys, self.place = np.insert(self.keys, to, key[by]), np.insert(self.place, to, place[by])
         return ids, begin[at], sizes[at]
 
     def encode(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._common import bounded_batches, slices
 from ._tokens import SLICE, encoder
+from ._tokens import tokenizer as vocabulary
 
 BITS = 20
 LOW = 31                 # states are 2**31 or more between steps
@@ -67,12 +68,15 @@ class Coder:
         self.freq = freq.astype(np.uint64)
         self.low = (np.cumsum(freq) - freq).astype(np.uint64)
         self.slot = np.repeat(np.arange(len(ids), dtype=np.uint32), freq)
+        # Where an id is in the table; past its end for one that is not there, which fails.
+        self.place = np.full(int(ids[-1]) + 1 if len(ids) else 0, len(ids), np.uint32)
+        self.place[ids] = np.arange(len(ids), dtype=np.uint32)
 
     def encode(self, ids: np.ndarray) -> dict:
         n = len(ids)
         lanes = int(min(LANES, max(1, n // 64)))
         steps = -(-n // lanes)
-        sym = np.searchsorted(self.ids, ids)
+        sym = self.place[ids]
         f, c = self.freq[sym], self.low[sym]
         x = np.full(lanes, 1 << LOW, U)
         words, states = [], []
@@ -115,19 +119,20 @@ class Coder:
         return self.ids[got]
 
 
-def planes(ids: np.ndarray) -> bytes:
-    """Ids byte plane by byte plane (compresses better than id by id)."""
-    return np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(ids: np.ndarray, width: int = 4) -> bytes:
+    """Ids of ``width`` bytes (2 or 4) byte plane by byte plane (compresses better than id by id)."""
+    return np.ascontiguousarray(ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
 
 
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+def from_planes(raw: bytes, width: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(f"<u{width}").reshape(-1)
 
 
 def write_ids(df: DataFrame, tokenizer: str, path: str, end: int = END, block: int = BLOCK) -> None:
     """Writes the ids of every ``text`` of ``df(key, text)``, each with ``end``
     after it, in ascending order of ``key`` (a long) to the folder ``path``."""
     spark = df.sparkSession
+    width = 2 if max(end, *vocabulary(tokenizer).get_vocab().values()) < 1 << 16 else 4  # bytes of an id between the passes
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     ranged = df.select("key", "text").repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
@@ -138,7 +143,7 @@ def write_ids(df: DataFrame, tokenizer: str, path: str, end: int = END, block: i
             part = b.column("part").to_numpy()
             raw, number = [], []
             for i in range(b.num_rows):
-                raw.append(planes(np.append(ids[off[i]:off[i + 1]], np.uint32(end))))
+                raw.append(planes(np.append(ids[off[i]:off[i + 1]], np.uint32(end)), width))
                 number.append(nth.get(part[i], 0))
                 nth[part[i]] = number[-1] + 1
             yield pa.RecordBatch.from_arrays([b.column("part"), pa.array(number, pa.int64()), b.column("key"), pa.array(raw, pa.binary())],
@@ -151,13 +156,10 @@ def write_ids(df: DataFrame, tokenizer: str, path: str, end: int = END, block: i
     def counted(batches):
         n = np.zeros(0, np.int64)
         for b in batches:
-            for raw in b.column("ids"):
-                c = np.bincount(from_planes(raw.as_py()))
-                if len(c) > len(n):
-                    c[:len(n)] += n
-                    n = c
-                else:
-                    n[:len(c)] += c
+            if b.num_rows:
+                c = np.bincount(np.concatenate([from_planes(raw, width) for raw in b.column("ids").to_pylist()]), minlength=len(n))
+                c[:len(n)] += n
+                n = c
         seen = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["id", "n"])
 
@@ -182,7 +184,7 @@ def write_ids(df: DataFrame, tokenizer: str, path: str, end: int = END, block: i
                 if held and (size >= block or held[-1][0] != part or held[-1][1] + 1 != nth):
                     yield flush()
                     held, size = [], 0
-                held.append((part, nth, key, from_planes(raw.as_py())))
+                held.append((part, nth, key, from_planes(raw.as_py(), width)))
                 size += len(held[-1][3])
         if held:
             yield flush()

@@ -240,6 +240,15 @@ def test_op9_coder_checkpoints_and_checksums():
             assert (coder.decode(block, n, first=k - 1, last=k) == ids[(k - 1) * part:k * part]).all()
 
 
+def test_op9_coder_refuses_ids_that_its_table_lacks():
+    coder = op9_rans.Coder(*op9_rans.table({3: 5, 9: 1}))
+    for odd in (0, 4, 10):
+        with pytest.raises(IndexError):
+            coder.encode(np.array([3, odd, 9], np.uint32))
+    own = np.array([9, 3, 3, 9], np.uint32)
+    assert coder.decode(coder.encode(own), 4).tolist() == own.tolist()
+
+
 def test_op9_round_trip_edges_and_damage(spark, edge, empty):
     path, tk = P.path("byte_bpe_50k.json"), tokenizer(P.path("byte_bpe_50k.json"))
     out = scratch_path(spark, "t-rans")

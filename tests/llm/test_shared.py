@@ -82,3 +82,15 @@ def test_memory_of_a_worker_is_bounded(spark, monkeypatch):
     df = spark.createDataFrame([("x" * 1000,)] * 30_000, "text string").coalesce(1)
     sizes = C.bounded_batches(df).mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in bs), "n long").collect()
     assert max(r.n for r in sizes) * 1000 <= 9 << 20
+
+
+def test_encoder_tells_apart_pieces_of_one_key():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [f"abcdefgh{x}ijklmnop {x}abcdefgh" for x in ("one", "two", "six")] + ["", "a", "éè <|endoftext|> a"]
+    enc = Encoder(path)
+    for own in (texts[:1], texts, texts[::-1], texts):  # the first of a key is known from then on
+        ids, off = enc.encode(pa.array(own))
+        for i, t in enumerate(own):
+            assert ids[off[i]:off[i + 1]].tolist() == tokenizer(path).encode(t, add_special_tokens=False).ids
