@@ -127,3 +127,22 @@ def test_the_nested_documents_read_their_chunks(spark):
     assert "order-chunks" in plan(docs) and "LocalTableScan" not in plan(docs)
     dates = docs.select(F.explode(F.from_json(F.to_json("mydata"), "array<struct<order_id long, order_date string>>")).alias("o")).select("o.*")
     assert sorted(map(tuple, dates.collect())) == [(1, "2024-01-01"), (1, "2024-01-01"), (5, "2024-01-03")]
+
+
+def test_only_reviews_that_come_twice_are_ordered(spark, monkeypatch):
+    cols = "review_id string, customer_id string, product_id string, at int, f0_pos int"
+    rows = [(f"R{i}", "C1", "P1", i, 0) for i in range(50)] + [("R7", "C2", "P1", 90, 0), ("R7", "C2", "P2", 90, 1), ("R9", "C3", "P1", 1, 0), (None, "C4", "P1", 1, 0), (None, "C5", "P1", 2, 0)]
+    whole = sorted((r[0], r[1], r[2]) for r in rows[:50] if r[0] != "R7") + [("R7", "C2", "P2")]
+    st = spark.createDataFrame(rows, cols)
+    once = SL.latest_of_few_repeats(spark.createDataFrame(rows[:50], cols), "review_id", ["at"])
+    assert "Window" not in plan(once) and "Exchange" not in plan(once) and once.count() == 50
+    few = SL.latest_of_few_repeats(st, "review_id", ["at"])
+    assert "LeftSemi" in plan(few) and "LeftAnti" in plan(few)
+    monkeypatch.setattr(SL, "FEW", 1)
+    many = SL.latest_of_few_repeats(st, "review_id", ["at"])
+    assert "LeftSemi" not in plan(many)
+    for got in (few, many):
+        assert got.columns == st.columns
+        assert sorted((r.review_id, r.customer_id, r.product_id) for r in got.collect()) == sorted(whole)
+    none = SL.latest_of_few_repeats(spark.createDataFrame([], cols), "review_id", ["at"])
+    assert none.count() == 0
