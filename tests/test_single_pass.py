@@ -5,8 +5,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conftest import lines_frame, valid_review
+from stardust import session
 from stardust.catalog._register_helpers import nested_order_documents
 from stardust.functions import text as X
+from stardust.plans import deltas
 from stardust.plans import star_load as SL
 from stardust.sources import csv_records
 from stardust.streaming.loader import StarStreamLoader
@@ -146,3 +148,32 @@ def test_only_reviews_that_come_twice_are_ordered(spark, monkeypatch):
         assert sorted((r.review_id, r.customer_id, r.product_id) for r in got.collect()) == sorted(whole)
     none = SL.latest_of_few_repeats(spark.createDataFrame([], cols), "review_id", ["at"])
     assert none.count() == 0
+
+
+def test_what_is_broadcast_of_repeated_reviews_is_a_bitmap(spark, monkeypatch):
+    rows = spark.range(6_000).select(F.concat(F.lit("R"), F.pmod(F.xxhash64("id"), F.lit(4_000)).cast("string")).alias("review_id"), F.col("id").alias("at"), F.lit(0).alias("f0_pos")).localCheckpoint()
+    whole = sorted(map(tuple, SL._latest(rows, "review_id", ["at"]).collect()))
+    for cells in (4096, 1 << 27):  # cells that many hashes share only send more rows to be ordered
+        monkeypatch.setattr(SL, "CELLS", cells)
+        got = SL.latest_of_few_repeats(rows, "review_id", ["at"])
+        assert "repeat-bitmap" in plan(got) and "repeated-keys" not in plan(got)
+        assert sorted(map(tuple, got.collect())) == whole
+    hashes = rows.groupBy(F.xxhash64("review_id").alias("__h")).count().where("count > 1")
+    bits, cells = SL.repeat_bitmap(hashes, hashes.count())
+    assert cells >= 16 * hashes.count() and bits.count() <= cells // 4096
+    assert bits.select(F.explode("words").alias("w")).agg(F.sum(F.bit_count("w"))).first()[0] <= hashes.count()
+
+
+def test_tables_of_many_rows_are_not_broadcast(spark, tmpdir_fresh, monkeypatch):
+    now = F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz")
+    load = lambda star: SL.load_batch(star, staged_rows(spark), now, ["at"])
+    few = load(load(SL.empty_star(spark)))
+    monkeypatch.setattr(session, "LOOKUP_ROWS", 0)
+    monkeypatch.setattr(deltas, "LOOKUP_ROWS", 0)
+    many = load(load(SL.empty_star(spark)))
+    for name, df in many.tables().items():
+        assert "BroadcastHashJoin" not in plan(df) and sorted(map(str, df.collect())) == sorted(map(str, few.tables()[name].collect()))
+    store = deltas.DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, {"customers": "customer_id"}, {"customers": "customer_key"})
+    for n in (0, 1):
+        store.put("customers", few.customers, n)
+    assert "BroadcastHashJoin" not in plan(store.feed("customers", 0))
