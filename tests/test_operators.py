@@ -171,3 +171,11 @@ def test_summary_maps_one_pass(spark, reviews):
     assert row["total"] == 5 and row["verified_count"] == 4 and abs(row["avg_star_rating"] - 3.0) < 1e-9
     assert dict(row["star_distribution"]) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1}
     assert abs(row["verified_rate"] - 0.8) < 1e-9
+
+
+def test_a_key_column_is_not_copied_for_the_latest_row(spark):
+    from stardust.operators import dedup as D
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, at int")
+    got = D.latest(df, "k", [F.col("at")])
+    assert "__k" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.k or "", r.at) for r in got.collect()) == [("", 3), ("a", 2)] and got.columns == ["k", "at"]

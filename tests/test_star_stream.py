@@ -228,3 +228,39 @@ def test_replay_after_mid_batch_failure(spark, tmpdir_fresh, monkeypatch):
     log = ld.table("batch_log")
     assert log.where(F.col("status") == "FAILED").count() == 1
     assert log.where(F.col("status") == "SUCCESS").count() == 1
+
+
+def test_landed_arrays_and_objects_are_read_as_columns(spark, tmpdir_fresh):
+    base = tmpdir_fresh
+    one, two, lone = rec("R1", "C1", "P1", "2024-01-01T00:00:00"), rec("R2", "C2", "P1", "2024-01-02T00:00:00"), rec("R3", "C3", "P1", "2024-01-03T00:00:00")
+    drop(f"{base}/in", "d1", [lone], extra_lines=[json.dumps([one, two, rec("R4", None, "P1", "2024-01-04T00:00:00")]), "[]", "7"])
+    ld = loader(spark, base)
+    ld.run_available()
+    assert sorted(r.review_id for r in ld.table("reviews").collect()) == ["R1", "R2", "R3"]
+    assert [r.review_id for r in ld.table("quarantine_reviews").collect()] == ["R4"]
+    assert ld.table("consumption_log").first().records_consumed == 5 and ld.table("json_data").count() == 4
+    drop(f"{base}/in", "d2", [rec("R3", "C3", "P2", "2024-02-01T00:00:00", star_rating=1)])
+    loader(spark, base).run_available()
+    landed = spark.read.parquet(f"{base}/star/json_data/load=1")
+    assert "__f_customer_id" in landed.columns                    # a scan reads the fields it needs, not whole records
+    assert landed.select("__o_loaded_timestamp", "__f_review_id").first() == (dt.datetime(2024, 2, 1), "R3")
+    assert {r.review_id: r.star_rating for r in ld.table("reviews").collect()}["R3"] == 1
+
+
+def test_a_table_of_one_load_is_read_without_an_aggregate_and_merged_once(spark, tmpdir_fresh):
+    store = DeltaStore(spark, f"{tmpdir_fresh}/s", SL.SCHEMAS, KEYS, SURROGATES)
+    store.put("customers", customer(spark, [(1, "a"), (2, "b")]), 0)
+    one = spark.createDataFrame([("C2",)], "customer_id string")
+    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in text(store.read("customers")) and [r.email for r in store.read("customers", only=one).collect()] == ["b@"]
+    src = spark.createDataFrame([("C2", "new@", "N", "x"), ("C3", None, "M", "y")], SCHEMA)
+    now = F.lit(dt.datetime(2026, 1, 2)).cast("timestamp_ntz")
+    cur = store.read("customers", only=src)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(SL.merge_customers(cur, src, now, 2, part=True)) == rows(SL.merge_customers(cur, src, now, 2))
+    facts = spark.createDataFrame([("R1", 4, None), ("R2", 5, 0)], "review_id string, star_rating int, helpful_votes int")
+    old = SL.merge_reviews(SL.empty_star(spark).reviews, facts.where("review_id = 'R1'").withColumn("star_rating", F.lit(1)), now)
+    merged = SL.merge_reviews(old, facts, now, part=True)
+    assert rows(merged) == rows(SL.merge_reviews(old, facts, now)) and text(merged).count("Join") == 1
+    store.put("customers", customer(spark, [(2, "c")]), 1)
+    assert "Aggregate" in text(store.read("customers")) and {r.customer_key: r.email for r in store.read("customers").collect()} == {1: "a@", 2: "c@"}
