@@ -177,3 +177,18 @@ def test_tables_of_many_rows_are_not_broadcast(spark, tmpdir_fresh, monkeypatch)
     for n in (0, 1):
         store.put("customers", few.customers, n)
     assert "BroadcastHashJoin" not in plan(store.feed("customers", 0))
+
+
+def test_the_nested_documents_are_dealt_once(spark):
+    cols = [F.lit("x").alias(c) for c in ("product_title", "product_category", "email", "name", "address")]
+    rows = [(i // 3, f"R{i // 3}-{i % 3 + 1}", f"2024-01-0{i % 3 + 1}", f"C{i // 3}", f"P{i}") for i in range(30)]
+    make = lambda rows: spark.createDataFrame(rows, "order_id long, review_id string, review_date string, customer_id string, product_id string").select(
+        "*", *cols, F.lit(1).alias("quantity"), F.lit(2).cast("decimal(38,2)").alias("price"))
+    assert "Exchange" not in plan(nested_order_documents(make(rows)))         # no order has several chunks: each has its date
+    more = rows + [(4, "R4-9", "2023-12-31", "C4", "P99"), (4, "R4-18", "2024-02-01", "C4", "P98"), (None, "R0-1", "2024-01-01", "C0", "P0")]
+    for of in (rows, more):
+        docs = nested_order_documents(make(of))
+        got = docs.select(F.explode(F.from_json(F.to_json("mydata"), "array<struct<order_id long, order_date string, customer struct<customer_id string>, products array<struct<product_id string>>>>")).alias("o")).select(
+            "o.order_id", "o.order_date", "o.customer.customer_id", F.explode("o.products.product_id").alias("p"))
+        first = {o: min(r[2] for r in of if r[0] == o) for o in {r[0] for r in of}}
+        assert sorted(map(tuple, got.collect())) == sorted((r[0], first[r[0]], r[3], r[4]) for r in of if r[0] is not None)
